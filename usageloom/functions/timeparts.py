@@ -14,6 +14,11 @@ def day(ts: Column) -> Column:
     return F.to_date(ts)
 
 
+def event_day(events: DataFrame) -> Column:
+    """Day of the event: the partition column where the log has one, which costs no reading."""
+    return F.col("event_date") if "event_date" in events.columns else day(F.col("event_timestamp"))
+
+
 def week_start(ts: Column) -> Column:
     return F.date_trunc("week", ts).cast("date")
 
@@ -47,8 +52,9 @@ def window_bounds() -> list[Column]:
 def within(events: DataFrame, start: Column, end: Column | None = None) -> DataFrame:
     """Events with ``start <= event_timestamp < end``.
 
-    A range on the bare column reaches the scan, so row groups prune; a log
-    partitioned by ``event_date`` also drops whole partitions.
+    Literal bounds reach the parquet scan. Bounds that are only known at run
+    time (scalar subqueries) do so through ``event_date``: a log partitioned by
+    it drops whole days before reading.
     """
     ts = F.col("event_timestamp")
     kept = events.filter(ts >= start)

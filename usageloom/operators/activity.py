@@ -19,7 +19,7 @@ def _active(events: DataFrame, bucket: Column, bucket_name: str, count_name: str
 
 
 def daily_active_users(events: DataFrame) -> DataFrame:
-    return _active(events, timeparts.day(F.col("event_timestamp")), "activity_date", "dau")
+    return _active(events, timeparts.event_day(events), "activity_date", "dau")
 
 
 def weekly_active_users(events: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def stickiness(events: DataFrame) -> DataFrame:
     that prunes files. The month is read once: a user is flagged when seen on
     the last day, then flags and users are counted.
     """
-    last_day = events.select(timeparts.day(F.max("event_timestamp"))).scalar()
+    last_day = events.select(F.max(timeparts.event_day(events))).scalar()
     in_month = timeparts.within(
         events,
         F.date_trunc("month", last_day).cast("date"),
