@@ -1,4 +1,4 @@
-"""Shared folders for checkpoints, streams and intermediate tables.
+"""Shared folders for streams, models and intermediate tables.
 
 On a cluster the session names a shared folder in ``spark.checkpoint.dir``.
 Only where that is unset (tests, a single machine) is a local folder used.
@@ -20,12 +20,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so later jobs neither recompute it nor lose it."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark, "checkpoints")
-        )
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """``df`` as a parquet table in the shared folder.
+
+    Later jobs read it instead of recomputing, only the columns they need, and
+    a lost executor takes nothing with it.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -88,7 +88,7 @@ def stratified_split(
     which locates the prefix where the cut falls; only that prefix (a 65536th
     of a label) is ranked, which gives one cut-off hash per label.
     Reads ``features`` three times, twice for key and label only: pass a
-    written table or a checkpoint when it is costly.
+    written table when it is costly.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
     hashed = features.select(F.col(key).alias("_key"), F.col(label).alias("_label"), digest.alias("_hash"))

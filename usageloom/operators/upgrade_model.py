@@ -17,7 +17,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageloom.functions.lineage import cut_lineage, shared_folder
+from usageloom.functions.lineage import shared_folder, written
 from usageloom.operators.features import LABEL, stratified_split
 
 NUMERIC = (
@@ -77,9 +77,9 @@ class Prepared:
 
 
 def prepare(features: DataFrame, label: str = LABEL, seed: int = 42) -> Prepared:
-    """Encoded features, split 75/25 by label. Every fit makes many passes, so the input is checkpointed."""
-    encoded = encode(cut_lineage(features)).withColumn("label", F.col(label).cast("double"))
-    split = cut_lineage(stratified_split(encoded, label=label, seed=seed))
+    """Encoded features, split 75/25 by label, both written since every fit makes many passes."""
+    encoded = encode(written(features, "features")).withColumn("label", F.col(label).cast("double"))
+    split = written(stratified_split(encoded, label=label, seed=seed), "split")
     return Prepared(
         train=split.filter(F.col("split") == "train"),
         test=split.filter(F.col("split") == "test"),

@@ -114,7 +114,7 @@ def _streamed(
 ) -> str:
     folder = shared_folder(spark, name)
     decoded = decode_events(feeds.stream_messages(spark, sf_dir))
-    jobs.run_once(job(decoded), sinks.ChangelogSink(f"{folder}/table"), f"{folder}/checkpoint", mode)
+    jobs.run_once(job(decoded), sinks.ChangelogSink(f"{folder}/table", files_per_batch=4), f"{folder}/checkpoint", mode)
     return f"{folder}/table"
 
 
@@ -136,7 +136,7 @@ def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     and the whole of the days, as update mode would emit them.
     """
     folder = shared_folder(spark, "upserts")
-    sink = sinks.ChangelogSink(folder)
+    sink = sinks.ChangelogSink(folder, files_per_batch=4)
     events = raw_events(spark, sf_dir)
     for batch_id, until in enumerate(("2024-01-11", "2024-01-21", "2024-02-01")):
         upto = events.filter(F.col("event_timestamp") < F.lit(until).cast("timestamp_ntz"))

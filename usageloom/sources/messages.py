@@ -75,6 +75,13 @@ def encode_events(events: DataFrame) -> DataFrame:
     )
 
 
+def publish(events: DataFrame, brokers: str, topic: str, **more: str) -> None:
+    """Writes a batch of events to a topic, each user's events to one partition."""
+    encode_events(events).write.format("kafka").options(
+        **kafka_sink_options(brokers, topic, **more)
+    ).save()
+
+
 def decode_events(messages: DataFrame) -> DataFrame:
     """The seven fields, plus the untouched text and the topic position if there is one.
 

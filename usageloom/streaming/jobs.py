@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -124,9 +124,9 @@ def start_ingest(
     decoded = decode_events(messages)
     counts = start(
         window_counts(decoded, watermark=watermark, width=width),
-        ChangelogSink(f"{output}/aggregated_metrics", epoch),
+        # a batch touches a handful of windows
+        ChangelogSink(f"{output}/aggregated_metrics", epoch, files_per_batch=4),
         f"{checkpoints}/aggregated_metrics",
-        name=None,
         output_mode="update",
         trigger=trigger,
     )
@@ -134,7 +134,6 @@ def start_ingest(
         decoded,
         RawEventSink(f"{output}/raw_events", epoch),
         f"{checkpoints}/raw_events",
-        name=None,
         output_mode="append",
         trigger=trigger,
     )
@@ -156,6 +155,13 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery]) -> None:
                 query.stop()
 
 
+def watermark_of(query: StreamingQuery) -> Column | None:
+    """The event time up to which windows are closed, once the query has one."""
+    progress = query.lastProgress
+    stamp = progress and progress["eventTime"].get("watermark")
+    return F.lit(stamp).cast("timestamp") if stamp else None
+
+
 def run_once(
     frame: DataFrame,
     sink: Callable[[DataFrame, int], None],

@@ -13,6 +13,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,14 @@ def _replace_batch(
     )
 
 
+def _seen(counts: Observation, name: str) -> int:
+    """A counter of the write just done; a batch known to be empty is optimised away, counters included."""
+    try:
+        return counts.get[name]
+    except Py4JJavaError:
+        return 0
+
+
 @dataclass
 class RawEventSink:
     """Appends decoded messages to the event log, good and refused ones apart.
@@ -77,8 +86,10 @@ class RawEventSink:
             slot = F.pmod(F.xxhash64("id"), F.lit(self.files_per_date))
             rows = rows.repartition("event_date", slot)
         _replace_batch(rows, self.path, self.epoch, batch_id, ("valid", "event_date"))
-        seen = counts.get
-        log.info("batch %d: %d raw event(s), %d refused", batch_id, seen["rows"], seen["refused"])
+        log.info(
+            "batch %d: %d raw event(s), %d refused",
+            batch_id, _seen(counts, "rows"), _seen(counts, "refused"),
+        )
 
 
 @dataclass
@@ -86,24 +97,25 @@ class ChangelogSink:
     """Keeps every emitted version of keyed rows; the newest version of a key counts.
 
     Update mode emits the full value of a key each time it changes, so
-    versions replace one another and are never added up. ``files_per_batch``
-    bounds the files of one batch: the emitted rows are shuffled behind the
+    versions replace one another and are never added up. Each task of the
+    stateful stage writes what it emitted. Where a batch emits few rows,
+    ``files_per_batch`` bounds its files: the rows are shuffled behind the
     stateful stage, which keeps all its tasks.
     """
 
     path: str
     epoch: int = 0
-    files_per_batch: int = 8
+    files_per_batch: int | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
         rows = batch.withColumn("written_at", F.current_timestamp()).observe(
             counts, F.count(F.lit(1)).alias("rows")
         )
-        _replace_batch(
-            rows.repartition(self.files_per_batch), f"{self.path}/changelog", self.epoch, batch_id
-        )
-        log.info("batch %d: upserted %d row(s)", batch_id, counts.get["rows"])
+        if self.files_per_batch:
+            rows = rows.repartition(self.files_per_batch, F.xxhash64(*batch.columns))
+        _replace_batch(rows, f"{self.path}/changelog", self.epoch, batch_id)
+        log.info("batch %d: upserted %d row(s)", batch_id, _seen(counts, "rows"))
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
