@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from usageloom import schemas
 from usageloom.functions import numeric
@@ -19,11 +18,13 @@ ISO_TIME_PATTERN = (
 
 
 def _reasons(rules: Mapping[str, Column]) -> Column:
-    """Names of the rules whose condition holds; NULL conditions count as not broken."""
-    return F.filter(
-        F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]),
-        lambda name: name.isNotNull(),
-    )
+    """Names of the rules whose condition holds, as an array; NULL conditions count as not broken.
+
+    Joining skips NULLs inside generated code. Filtering an array of names
+    would be interpreted, and every rule in it with it.
+    """
+    joined = F.concat_ws("|", *[F.when(broken, F.lit(name)) for name, broken in rules.items()])
+    return F.when(joined != "", F.split(joined, r"\|")).otherwise(F.array().cast("array<string>"))
 
 
 def _too_long(table: schemas.Table, columns: Sequence[str]) -> dict[str, Column]:
@@ -48,20 +49,20 @@ def validate_messages(messages: DataFrame) -> DataFrame:
     All fields are read as text so that the form of the time, offset included,
     can be judged. Other columns of ``messages`` are carried along.
     """
-    text_schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in schemas.MESSAGE_FIELDS]
-    )
     text = F.col("value").cast("string")
     carried = [c for c in messages.columns if c not in ("key", "value")]
+    # one parse gives the values and tells which keys were there
     parsed = messages.select(
+        *carried, text.alias("raw_value"), F.from_json(text, "map<string, string>").alias("m")
+    ).select(
         *carried,
-        text.alias("raw_value"),
-        F.from_json(text, text_schema).alias("m"),
-        F.json_object_keys(text).alias("keys"),
+        "raw_value",
+        F.map_keys("m").alias("_keys"),
+        *[F.col("m").getItem(name).alias(f"_{name}") for name in schemas.MESSAGE_FIELDS],
     )
 
     def field(name: str) -> Column:
-        return F.col(f"m.{name}")
+        return F.col(f"_{name}")
 
     def not_in(name: str, values: Sequence[str]) -> Column:
         return ~F.coalesce(field(name).isin(*values), F.lit(False))
@@ -69,7 +70,7 @@ def validate_messages(messages: DataFrame) -> DataFrame:
     expected = F.array(*[F.lit(name) for name in schemas.MESSAGE_FIELDS])
     is_feature_use = F.coalesce(field("event_type") == F.lit(schemas.FEATURE_EVENT), F.lit(False))
     broken = {
-        "keys_missing": F.size(F.array_except(expected, F.col("keys"))) > 0,
+        "keys_missing": F.size(F.array_except(expected, F.col("_keys"))) > 0,
         "user_id_missing": F.coalesce(F.length(field("user_id")), F.lit(0)) == 0,
         "session_id_not_uuid": ~F.coalesce(field("session_id").rlike(UUID_PATTERN), F.lit(False)),
         "timestamp_not_iso": ~F.coalesce(
@@ -87,7 +88,7 @@ def validate_messages(messages: DataFrame) -> DataFrame:
         },
     }
     # no object at all: one reason instead of one per field
-    readable = F.col("keys").isNotNull()
+    readable = F.col("_keys").isNotNull()
     return parsed.select(
         *carried,
         "raw_value",
