@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from usageloom.operators import activity, adoption, features, funnel, quality, retention, rollups
 from usageloom.plans.suite import KPI_SUITE, run_suite, suite_row_counts
+from usageloom.sources.clickstream import raw_events
 
 LOG = [
     (1, "a", "2024-01-01 00:00:10", "signup", "free", None, "US"),
@@ -103,17 +105,24 @@ def test_empty_log(events):
     assert rows(rollups.stalled(rollups.aggregated_metrics(log))) == [(True,)]
     assert rows(rollups.heartbeat(rollups.aggregated_metrics(log))) == [(None,)]
     assert rows(features.stratified_split(features.user_features(log))) == []
-    for name, statement in KPI_SUITE:
+    for name, statement, _ in KPI_SUITE:
         statement(log).collect()
 
 
 def test_suite_runs_in_order_and_writes(events, spark, tmp_path):
     results = run_suite(events(LOG), str(tmp_path))
-    assert list(results) == [name for name, _ in KPI_SUITE] and len(results) == 12
+    assert list(results) == [name for name, _, _ in KPI_SUITE] and len(results) == 12
     assert rows(spark.read.parquet(str(tmp_path / "stickiness"))) == [(3, 3, 1.0)]
     assert all(r["result_rows"] > 0 for r in suite_row_counts(events(LOG)).collect())
 
 
+def test_suite_reductions_change_no_result(spark):
+    log = raw_events(spark, SMALL)
+    results = run_suite(log)
+    for name, statement, _ in KPI_SUITE:
+        assert rows(results[name]) == rows(statement(log)), name
+
+
 def test_one_user_with_a_third_of_all_rows(spark):
     """A hot user changes no result and no task gets more than one row of them per input task."""
     log = spark.range(0, 60000, 1, 8).select(

@@ -136,20 +136,18 @@ def snapshot_version(spark: SparkSession, path: str) -> int | None:
     return None if done is None else done.agg(F.max("upto")).first()[0]
 
 
+def _changes(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+    schema = f"{_ddl(row_schema)}, `written_at` timestamp, `epoch` bigint, `batch_id` bigint"
+    found = _table(spark, f"{path}/changelog", schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def versions(
     spark: SparkSession, path: str, row_schema: T.StructType, upto: int | None = None
 ) -> DataFrame:
     """All live versions: the newest snapshot, then the batches after it."""
     columns = [f.name for f in row_schema.fields]
-    changes = _table(
-        spark,
-        f"{path}/changelog",
-        f"{_ddl(row_schema)}, `written_at` timestamp, `epoch` bigint, `batch_id` bigint",
-    )
-    if changes is None:
-        changes = spark.createDataFrame(
-            [], f"{_ddl(row_schema)}, `written_at` timestamp, `epoch` bigint, `batch_id` bigint"
-        )
+    changes = _changes(spark, path, row_schema)
     base = snapshot_version(spark, path)
     # conditions on partition columns only: folders outside the range are not listed for reading
     if base is not None:
@@ -219,9 +217,10 @@ def compact(
     """
     if upto is None:
         # partition values alone answer this
-        batches = versions(spark, path, row_schema).select("version").distinct()
+        batches = _changes(spark, path, row_schema).select(version().alias("version")).distinct()
         newest_two = [r["version"] for r in batches.orderBy(F.desc("version")).limit(2).collect()]
-        if len(newest_two) < 2:
+        base = snapshot_version(spark, path)
+        if len(newest_two) < 2 or newest_two[1] == base:
             return None
         upto = newest_two[1]
     current = latest_versions(spark, path, row_schema, keys, upto)
