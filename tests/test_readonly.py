@@ -76,6 +76,10 @@ def test_parser_refuses_what_the_gate_lets_pass(spark, sql):
         readonly.run_readonly(spark, sql)
 
 
+def test_higher_order_functions_are_reading(spark):
+    assert readonly.run_readonly(spark, "SELECT transform(array(1, 2), x -> x + 1) AS t").first()["t"] == [2, 3]
+
+
 @pytest.mark.parametrize(
     "sql",
     [

@@ -37,7 +37,9 @@ SPACE = (
 )
 WORD = r"[\p{L}\p{N}_]"
 # Ways a Spark query text can reach outside the data: refused by run_readonly only.
-OUTSIDE_CALLS = ("REFLECT", "JAVA_METHOD", "TRY_REFLECT", "TRANSFORM")
+OUTSIDE_CALLS = re.compile(
+    r"\b(?:REFLECT|TRY_REFLECT|JAVA_METHOD)\b|\bTRANSFORM\b.*\bUSING\b", re.IGNORECASE | re.DOTALL
+)
 
 
 class NotReadOnly(ValueError):
@@ -86,6 +88,6 @@ def require_readonly(spark: SparkSession, sql: str) -> str:
 def run_readonly(spark: SparkSession, sql: str) -> DataFrame:
     """Run a gated text over the registered views."""
     text = require_readonly(spark, sql)
-    if any(re.search(rf"\b{name}\b", text, re.IGNORECASE) for name in OUTSIDE_CALLS):
+    if OUTSIDE_CALLS.search(text):
         raise NotReadOnly("calls_outside_code")
     return spark.sql(text)
