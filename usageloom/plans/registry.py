@@ -42,8 +42,9 @@ def _on_metrics(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(rollups.aggregated_metrics(raw_events(spark, sf_dir)))
 
 
-def _on_features(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(features.user_features(raw_events(spark, sf_dir)))
+def _on_labels(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    """For what depends on counts and label only; unused counts are pruned."""
+    return lambda spark, sf_dir: operator(features.user_counts(raw_events(spark, sf_dir)))
 
 
 def _as_of() -> Column:
@@ -204,7 +205,7 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction any engine can repeat: users who log in more often than they log out convert."""
-    rows = features.user_features(raw_events(spark, sf_dir))
+    rows = features.user_counts(raw_events(spark, sf_dir))
     guess = F.when(F.col("login_count") > F.col("logout_count"), 1).otherwise(0)
     return rows.select("user_id", F.col(features.LABEL).alias("label"), guess.alias("prediction"))
 
@@ -294,10 +295,10 @@ QUERIES: dict[str, Query] = {
     "active_users_stream": active_users_stream,
     "user_features": _on_events(features.user_features),
     "user_features_leak_free": _on_events(lambda e: features.user_features(e, leak_free=True)),
-    "label_balance": _on_features(features.label_balance),
-    "stratified_split": lambda spark, sf_dir: features.stratified_split(
-        features.user_features(raw_events(spark, sf_dir))
-    ).select("user_id", features.LABEL, "split"),
+    "label_balance": _on_labels(features.label_balance),
+    "stratified_split": _on_labels(
+        lambda users: features.stratified_split(users).select("user_id", features.LABEL, "split")
+    ),
     "encoded_features": encoded_features,
     "scaled_features": scaled_features,
     "classification_report": classification_report,
