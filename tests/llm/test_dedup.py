@@ -80,18 +80,20 @@ def test_large_group_and_a_shared_passage(spark):
     assert not missed
 
 
-def test_blocks_of_one_key_find_every_near_pair(spark, monkeypatch):
+def test_blocks_find_every_near_pair_once(spark, monkeypatch):
+    import numpy as np
+
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     rows = family(40)
     classes = near_dedup.folded(spark.createDataFrame(rows, "doc_id long, text string")).select(
         F.col("doc_id").alias("class_id"), "signature")
-    one_key = classes.select(F.lit(1).cast("long").alias("key"), "class_id", F.col("class_id").alias("component"))
-    import numpy as np
-
+    members = near_dedup.keys_of(classes).withColumn("component", F.col("class_id"))
     signatures = {r[0]: np.frombuffer(bytes(r[1]), "<u2") for r in classes.collect()}
-    expected = {(a, b) for a in signatures for b in signatures
-                if a < b and (signatures[a] != signatures[b]).sum() <= near_dedup.DISTANCE}
-    assert {(r[0], r[1]) for r in near_dedup.block_pairs(one_key, classes).collect()} == expected
+    expected = sorted((a, b) for a in signatures for b in signatures
+                      if a < b and (signatures[a] != signatures[b]).sum() <= near_dedup.DISTANCE)
+    assert sorted((r[0], r[1]) for r in near_dedup.block_pairs(members, classes).collect()) == expected
+    nearest = {(r[0], r[1]) for r in near_dedup.block_pairs(members, classes, nearest=True).collect()}
+    assert nearest and nearest < set(expected)
 
 
 def test_keys_meet_for_every_pair_within_the_distance(spark):
@@ -108,7 +110,7 @@ def test_keys_meet_for_every_pair_within_the_distance(spark):
     keys = near_dedup.keys_of(spark.createDataFrame(
         [(i, bytearray(b)) for i, b in rows], "class_id long, signature binary"))
     mine = {r[0] for r in keys.filter("class_id = 0").collect()}
-    met = {r[1] for r in keys.collect() if r[0] in mine}
+    met = {r["class_id"] for r in keys.collect() if r["key"] in mine}
     assert met == set(range(60))
 
 

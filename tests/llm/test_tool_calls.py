@@ -1,0 +1,111 @@
+"""Tool-call linking, its order, its checks and its JSON."""
+
+import json
+
+import pytest
+from odd_rows import labels, none, odd  # noqa: F401
+
+from usageloom.llm import tool_calls
+
+TOOLS = {
+    "add": {
+        "type": "object", "required": ["x"], "additionalProperties": False,
+        "properties": {"x": {"type": "number", "minimum": 0}, "y": {"type": "object"}, "tags": {"type": "array", "items": {"type": "string"}}},
+    },
+}
+
+
+def call(identifier, name="add", arguments=None):
+    arguments = arguments if isinstance(arguments, str) else json.dumps({"x": 1} if arguments is None else arguments)
+    return {"id": identifier, "name": name, "arguments": arguments}
+
+
+def messages(spark, rows):
+    return spark.createDataFrame(
+        [(c, t, text, json.dumps(calls) if calls else None, answer) for c, t, text, calls, answer in rows],
+        "conv_id long, turn long, text string, tool_calls string, tool_call_id string")
+
+
+def report(spark, rows):
+    found = tool_calls.positioned(tool_calls.linked_calls(messages(spark, rows), TOOLS)).collect()
+    return sorted(found, key=lambda r: (r["conv_id"] is None, r["conv_id"] or 0, r["position"]))
+
+
+def test_late_messages_are_put_behind_what_they_need(spark):
+    """The first call refers to the last one, whose result comes in between."""
+    rows = report(spark, [
+        (1, 0, None, [call("a", arguments={"x": 1, "y": {"$ref": "b"}})], None),
+        (1, 1, "of a", None, "a"),
+        (1, 2, "of b", None, "b"),
+        (1, 3, None, [call("b")], None),
+    ])
+    assert [(r["call_id"], r["kind"], r["status"], r["position"]) for r in rows] == [
+        ("b", "call", "ok", 0), ("b", "result", "ok", 1), ("a", "call", "ok", 2), ("a", "result", "ok", 3)]
+
+
+def test_every_status(spark):
+    rows = report(spark, [
+        (1, 0, None, [call("a"), call("a"), call("b", "sub"), call("c", arguments={"x": -1})], None),
+        (1, 1, None, [call("d", arguments="{no json"), call("e", arguments={"x": 1, "y": {"$ref": "zz"}})], None),
+        (1, 2, None, [call("f", arguments={"x": 1, "y": {"$ref": "g"}}), call("g", arguments={"x": 1, "y": {"$ref": "f"}})], None),
+        (1, 3, "r", None, "a"), (1, 4, "again", None, "a"), (1, 5, "r", None, "nobody"),
+        (2, 0, None, [call("h")], None),
+    ])
+    found = {(r["conv_id"], r["call_id"], r["kind"], r["turn"]): [] for r in rows}
+    for r in rows:
+        found[r["conv_id"], r["call_id"], r["kind"], r["turn"]].append(r["status"])
+    assert {k: sorted(v) for k, v in found.items()} == {
+        (1, "a", "call", 0): ["duplicate_id", "ok"], (1, "b", "call", 0): ["unknown_tool"], (1, "c", "call", 0): ["invalid"],
+        (1, "d", "call", 1): ["invalid"], (1, "e", "call", 1): ["missing_dependency"],
+        (1, "f", "call", 2): ["cycle"], (1, "g", "call", 2): ["cycle"],
+        (1, "a", "result", 3): ["ok"], (1, "a", "result", 4): ["duplicate_id"], (1, "nobody", "result", 5): ["orphan"],
+        (2, "h", "call", 0): ["unanswered"]}
+    for conv in (1, 2):
+        positions = [r["position"] for r in rows if r["conv_id"] == conv]
+        assert positions == list(range(len(positions)))
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    rows = report(spark, [
+        (None, 0, None, [call("a")], None), (None, 1, "", None, "a"),
+        (3, None, None, [call(None), call("b", None, "")], None), (3, 1, "r", None, None),
+        (4, 0, None, [call("z")], None), (4, 0, None, [call("z")], None),
+    ])
+    assert len(rows) == 6 and sorted(r["status"] for r in rows if r["conv_id"] == 4) == ["duplicate_id", "unanswered"]
+    assert report(spark, []) == []
+    assert json.loads(next(r["json"] for r in rows if r["kind"] == "result"))["content"] is None
+
+
+@pytest.mark.parametrize("value, text", [
+    ({"b": 1.0, "a": [True, None, 0.5]}, '{"a":[true,null,0.5],"b":1}'), ({"é": "\n😀"}, '{"é":"\\n😀"}'), (1e300, "1e+300")])
+def test_canonical_json(value, text):
+    assert tool_calls.canonical(value) == text and tool_calls.canonical(json.loads(text)) == text
+
+
+@pytest.mark.parametrize("value, where", [
+    ({"x": 1}, None), ({"x": True}, "$.x"), ({}, "$.x"), ({"x": 1, "z": 1}, "$.z"), ({"x": 1, "tags": ["a", 2]}, "$.tags[1]"),
+    ([], "$"), (None, "$"), ({"x": -0.5}, "$.x")])
+def test_schema_breaches(value, where):
+    found = tool_calls.breach(value, TOOLS["add"])
+    assert (found is None) if where is None else found.startswith(f"{where}:")
+
+
+def test_conversations_equal_brute_force(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    by = {}
+    for r in turns.collect():
+        by.setdefault(r["conv_id"], []).append(r)
+    expected = []
+    for conv, rows in by.items():
+        users = {r["turn"] for r in rows if r["role"] == "user"}
+        events = []
+        for r in rows:
+            if r["role"] == "user":
+                events.append((r["turn"], 0, f"c{conv}t{r['turn']}"))
+            elif r["role"] == "assistant" and r["turn"] - 1 in users:
+                events.append((r["turn"] - 1, 1, f"c{conv}t{r['turn'] - 1}"))
+            elif r["role"] == "assistant":
+                events.append((r["turn"], 1, f"c{conv}t{r['turn'] - 1}"))
+        expected += [(conv, i, name, "result" if second else "call") for i, (_, second, name) in enumerate(sorted(events))]
+    found = tool_calls.tool_call_report(turns).select("conv_id", "position", "call_id", "kind").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)

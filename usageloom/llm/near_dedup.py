@@ -14,12 +14,14 @@ with a chance of some 1 in 1,000, one of 0.8 with 1 in 100,000.
    tried against them. Pairs within the distance are confirmed on whole sets
    and components are formed.
 3. Keys whose classes still lie in several components are compared within
-   themselves, in blocks of bounded size, only across components; each class is
-   first confirmed with its nearest partners, and what has not become one
-   component by then is confirmed in full.
+   themselves, in blocks of bounded size, only across components. In the first
+   ``ROUNDS`` rounds each class of a meeting names its nearest partner alone,
+   which joins the components of a large group as fast as they can halve.
+4. What lies apart then is compared in full: every pair within the distance is
+   named once, under the first key it shares, and confirmed.
 
-So a large group costs a star, not all its pairs, and no link between
-components is left untried. Keys, pairs and components stay in the executors.
+So a large group costs a star and a few rounds of one pair a class, not all its
+pairs, and no link between components is left untried. Keys, pairs and components stay in the executors.
 
 Defined cases: a text without words is linked with nothing; one with fewer
 words than a shingle is one shingle; rows that share a doc_id are one document,
@@ -46,6 +48,7 @@ SIZE, BITS = 48, 16
 DISTANCE, CHUNKS = 21, 11
 #: classes of one key compared in one task
 BLOCK = 1500
+ROUNDS = 3
 NEAREST = 3
 
 FOLDED = "doc_id long, n_shingles long, digest string, signature binary"
@@ -126,7 +129,7 @@ def chunk_bounds() -> list[tuple[int, int]]:
 
 
 def keys_of(classes: DataFrame) -> DataFrame:
-    """(key, class): each chunk once per value left out."""
+    """(key, slot, class): each chunk once per value left out; ``slot`` says which chunk and value."""
 
     def keys(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -136,7 +139,7 @@ def keys_of(classes: DataFrame) -> DataFrame:
             if not ids.size:
                 continue
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(-1, SIZE).astype(np.uint64)
-            found = []
+            found, slots = [], []
             for chunk, (a, b) in enumerate(chunk_bounds()):
                 for out in range(a, b):
                     key = np.full(ids.size, chunk * SIZE + out + 1, np.uint64)
@@ -144,10 +147,23 @@ def keys_of(classes: DataFrame) -> DataFrame:
                         if i != out:
                             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + values[:, i])
                     found.append(key.astype(np.int64))
+                    slots.append(np.full(ids.size, out, np.int16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found)), pa.array(np.tile(ids, len(found)))], names=["key", "class_id"])
+                [pa.array(np.concatenate(found)), pa.array(np.concatenate(slots)), pa.array(np.tile(ids, len(found)))],
+                names=["key", "slot", "class_id"])
 
-    return classes.select("class_id", "signature").mapInArrow(keys, "key long, class_id long")
+    return classes.select("class_id", "signature").mapInArrow(keys, "key long, slot short, class_id long")
+
+
+def first_slots(equal: np.ndarray) -> np.ndarray:
+    """The first slot whose key two signatures share, for each row of equal values; -1 if there is none."""
+    out = np.full(equal.shape[0], -1)
+    for a, b in chunk_bounds():
+        part = equal[:, a:b]
+        off = (~part).sum(axis=1)
+        free = (out < 0) & (off <= 1)
+        out[free] = a + np.where(off[free] == 0, 0, (~part[free]).argmax(axis=1))
+    return out
 
 
 def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -203,18 +219,21 @@ def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "class_id")))
 
 
-def block_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, distance) within the distance, across components, of each key's classes, block against block."""
+def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
+    """(a, b, distance) within the distance, across components, of each key's classes, block against block.
+
+    ``nearest``: only one pair for each class of a meeting. Else every pair, once over all keys.
+    """
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
     open_keys = written(sizes.filter("least <> most").select(
         "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open-keys")
     mine = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     dealt = members.join(open_keys, "key").withColumn("block", mine).select(
-        "key", "class_id", "component", "block",
+        "key", "slot", "class_id", "component", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = dealt.select(
-        "class_id", "component", "block",
+        "slot", "class_id", "component", "block",
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("meeting"),
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     signed = rows.join(classes.select("class_id", "signature"), "class_id")
@@ -234,15 +253,22 @@ def block_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
             first = places if alone else places[side]
             second = places if alone else places[~side]
             for i in first:
-                others = second[second > i] if alone else second
+                others = second if nearest or not alone else second[second > i]
                 others = others[home[others] != home[i]]
                 if not others.size:
                     continue
-                away = (values[others] != values[i]).sum(axis=1)
-                hit = others[away <= DISTANCE]
+                equal = values[others] == values[i]
+                away = SIZE - equal.sum(axis=1)
+                if nearest:
+                    best = int(away.argmin())
+                    named = np.array([best] if away[best] <= DISTANCE else [], np.int64)
+                else:
+                    named = np.flatnonzero(away <= DISTANCE)
+                    named = named[first_slots(equal[named]) == rows[0][6]]
+                hit = others[named]
                 out_a.append(np.minimum(ids[hit], ids[i]))
                 out_b.append(np.maximum(ids[hit], ids[i]))
-                out_d.append(away[away <= DISTANCE])
+                out_d.append(away[named])
             empty = np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([empty, *x]).astype(np.int64)) for x in (out_a, out_b, out_d)],
@@ -251,7 +277,7 @@ def block_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
         now, gathered = None, []
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in
-                       ("meeting", "class_id", "component", "block", "low", "high", "signature"))
+                       ("meeting", "class_id", "component", "block", "low", "high", "signature", "slot"))
             for meeting, *row in zip(*columns, strict=True):
                 if meeting != now and gathered:
                     yield compared(gathered)
@@ -262,8 +288,9 @@ def block_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
             yield compared(gathered)
 
     sorted_rows = signed.repartition("meeting").sortWithinPartitions("meeting", "class_id").select(
-        "meeting", "class_id", "component", "block", "low", "high", "signature")
-    return sorted_rows.mapInArrow(across, "a long, b long, distance long").distinct()
+        "meeting", "class_id", "component", "block", "low", "high", "signature", "slot")
+    named = sorted_rows.mapInArrow(across, "a long, b long, distance long")
+    return named.distinct() if nearest else named
 
 
 def still_apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -298,8 +325,17 @@ def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
     edges = written(confirmed(pairs, texts), "links")
     found = written(components(edges), "components")
 
-    left = written(block_pairs(with_component(met.select("key", "class_id"), found), classes)
-                   .join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+    members, tried = met.select("key", "slot", "class_id"), pairs
+    for _ in range(ROUNDS):
+        near = block_pairs(with_component(members, found), classes, nearest=True).select("a", "b")
+        chosen = written(near.join(tried, ["a", "b"], "left_anti"), "nearest-pairs")
+        if chosen.isEmpty():
+            break
+        tried = tried.unionByName(chosen)
+        edges = edges.unionByName(written(confirmed(chosen, texts), "links"))
+        found = written(components(edges), "components")
+    left = written(block_pairs(with_component(members, found), classes)
+                   .join(tried, ["a", "b"], "left_anti"), "open-pairs")
     for choose in (lambda p: nearest_only(p, 1), nearest_only, lambda p: p.select("a", "b")):
         left = written(still_apart(left, found), "open-pairs")
         if left.isEmpty():
