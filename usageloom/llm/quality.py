@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usageloom.llm.common import SPACE, text_or_empty
+from usageloom.llm.common import SPACE, text_or_empty, written
 
 BUCKETS = 16384
 #: below this mean log ratio a text is unlike the trusted ones
@@ -143,9 +143,11 @@ def judged(docs: DataFrame, labels: DataFrame, *carried: Column, threshold: floa
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judged(docs, labels, F.col("doc_id")).select(
+    """One narrow row per document, stored: a reader's filter would otherwise be copied into every step."""
+    return written(judged(docs, labels, F.col("doc_id")).select(
         "doc_id", *[F.col(f"_{c}").alias(c) for c in (
-            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")])
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")]),
+        "quality-report")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
