@@ -31,7 +31,11 @@ from pyspark.sql import functions as F
 from usageloom.llm.common import SPACE, shared_folder, text_or_empty, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: RocksDB on disk; without preallocated logs, as each of many partitions has a small store of its own
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 FILES_PER_BATCH = 1000
 
 
@@ -58,15 +62,17 @@ def located(docs: DataFrame) -> DataFrame:
 
 @contextlib.contextmanager
 def disk_backed_state(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def keyed_state(digests: DataFrame) -> DataFrame:
