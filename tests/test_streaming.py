@@ -290,3 +290,54 @@ def test_database_statements():
     assert "INSERT (a, b, v) VALUES (s.a, s.b, s.v)" in merge
     sink = jdbc.JdbcMetricSink("jdbc:x", {"password": "secret"})
     assert sink.staging == "aggregated_metrics_staging" and "secret" not in repr(sink)
+
+
+def test_metric_merge_sets_the_time_of_the_write():
+    from usageloom.streaming import jdbc
+
+    merge = jdbc.merge_sql("m", "s1", ("a",), ("v",), touched="updated_at")
+    assert "UPDATE SET v = s.v, updated_at = CURRENT_TIMESTAMP" in merge
+    assert "INSERT (a, v, updated_at) VALUES (s.a, s.v, CURRENT_TIMESTAMP)" in merge
+
+
+def test_upserts_hold_events_of_any_year(spark, tmp_path):
+    """Running counts lose nothing, whenever the events happened."""
+    from conftest import SMALL
+
+    from usageloom.plans.registry import QUERIES
+
+    late = spark.read.parquet(f"{SMALL}/events.parquet").withColumn(
+        "ts", F.when(F.col("event_id") % 2 == 0, F.col("ts") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("ts")))
+    late.write.parquet(str(tmp_path / "events.parquet"))
+    total = F.sum("metric_value")
+    folder = str(tmp_path)
+    assert (QUERIES["upsert_metrics"](spark, folder).agg(total).first()
+            == QUERIES["events_per_minute"](spark, folder).agg(total).first())
+
+
+def test_folders_off_a_single_machine_must_be_named():
+    from usageloom.functions import lineage
+
+    assert lineage.is_local("local[8]") and lineage.is_local("local")
+    assert not lineage.is_local("local-cluster[3,2,1024]") and not lineage.is_local("yarn")
+
+    class Far:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lineage.shared_folder(Far, "x")
+
+
+def test_window_users_are_combined_before_the_shuffle(spark):
+    from conftest import SMALL
+
+    from usageloom.plans import feeds
+    from usageloom.sources.messages import decode_events
+
+    events = feeds.to_raw_events(spark.read.parquet(f"{SMALL}/events.parquet"))
+    plan = jobs.window_users(decode_events(feeds.encode_events(events)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.rindex("partial_count")

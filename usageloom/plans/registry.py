@@ -30,8 +30,8 @@ from usageloom.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The test events end on 2024-01-30; health figures are taken a day later.
-AS_OF = "2024-01-31 00:00:00"
+#: health figures are taken this long after the newest event
+DELAY = "INTERVAL 1 HOUR"
 
 
 def _on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -47,8 +47,18 @@ def _on_labels(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(features.user_counts(raw_events(spark, sf_dir)))
 
 
-def _as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
+def _as_of(spark: SparkSession, sf_dir: str) -> Column:
+    """The newest event's time plus ``DELAY``, as one value of the query."""
+    newest = raw_events(spark, sf_dir).agg((F.max("event_timestamp") + F.expr(DELAY)).cast("timestamp").alias("as_of"))
+    return newest.scalar()
+
+
+def ingest_heartbeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.heartbeat(rollups.aggregated_metrics(raw_events(spark, sf_dir)), _as_of(spark, sf_dir))
+
+
+def ingest_stalled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.stalled(rollups.aggregated_metrics(raw_events(spark, sf_dir)), _as_of(spark, sf_dir))
 
 
 # --- messages and data quality ---------------------------------------------
@@ -133,14 +143,18 @@ def kpi_overview_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reader's view after each of three batches was written twice and the first two were compacted.
 
-    A batch holds the running counts of all events up to one third, two thirds
-    and the whole of the days, as update mode would emit them.
+    A batch holds the running counts of all events up to one third and two
+    thirds of the time the log spans, and of the whole log, as update mode
+    would emit them.
     """
     folder = shared_folder(spark, "upserts")
     sink = sinks.ChangelogSink(folder, files_per_batch=4)
     events = raw_events(spark, sf_dir)
-    for batch_id, until in enumerate(("2024-01-11", "2024-01-21", "2024-02-01")):
-        upto = events.filter(F.col("event_timestamp") < F.lit(until).cast("timestamp_ntz"))
+    first, last = F.min("event_timestamp"), F.max("event_timestamp")
+    third = (last - first) / 3
+    bounds = events.agg((first + third).alias("one"), (last - third).alias("two")).first()
+    parts = [events.filter(F.col("event_timestamp") < F.lit(b)) for b in bounds] if bounds[0] else []
+    for batch_id, upto in enumerate([*parts, events]):
         emitted = rollups.aggregated_metrics(upto).select(
             F.col("window_start").cast("timestamp").alias("window_start"),
             F.col("window_end").cast("timestamp").alias("window_end"),
@@ -182,10 +196,9 @@ def feature_usage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed windows only: the newest minute waits for the watermark."""
-    path = _streamed(spark, sf_dir, "active-users", jobs.active_users_exact, "append")
-    rows = sinks.active_users_latest(spark, path).drop("created_at", "updated_at")
-    return _plain_time(rows, "window_start", "window_end")
+    """All windows, the open ones too: the stream keeps (window, user) pairs, the reader counts them."""
+    path = _streamed(spark, sf_dir, "active-users", jobs.window_users, "update")
+    return _plain_time(sinks.window_users_counted(spark, path), "window_start", "window_end")
 
 
 # --- upgrade prediction -------------------------------------------------------
@@ -278,8 +291,8 @@ QUERIES: dict[str, Query] = {
     "active_users_per_minute": _on_events(activity.active_users_per_window),
     "events_per_minute": _on_metrics(rollups.metric_series),
     "kpi_overview": _on_metrics(rollups.kpi_overview),
-    "ingest_heartbeat": _on_metrics(lambda m: rollups.heartbeat(m, _as_of())),
-    "ingest_stalled": _on_metrics(lambda m: rollups.stalled(m, _as_of())),
+    "ingest_heartbeat": ingest_heartbeat,
+    "ingest_stalled": ingest_stalled,
     "events_keyed_json": events_keyed_json,
     "events_json_decode": events_json_decode,
     "validate_events": validate_events,

@@ -144,9 +144,10 @@ TABLES = {t.name: t for t in (RAW_EVENTS, USER_METRICS, AGGREGATED_METRICS, FEAT
 
 
 def create_table_sql(table: Table, location: str, partitioned_by: tuple[str, ...] = ()) -> str:
-    """``CREATE TABLE`` text for an external parquet table in a Spark catalog."""
+    """``CREATE TABLE`` text for an external parquet table in a Spark catalog, with the columns' defaults."""
     columns = ",\n  ".join(
         f"{f.name} {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+        + (f" DEFAULT {table.defaults[f.name]}" if f.name in table.defaults else "")
         for f in table.schema.fields
     )
     partitions = f"\nPARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""

@@ -28,16 +28,18 @@ def insert_missing_sql(table: str, staging: str, columns: Sequence[str], keys: S
 
 
 def merge_sql(
-    table: str, staging: str, keys: Sequence[str], values: Sequence[str]
+    table: str, staging: str, keys: Sequence[str], values: Sequence[str], touched: str | None = None
 ) -> str:
+    """``touched``: a column of the target that takes the time of the write."""
     match = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    updates = ", ".join(f"{v} = s.{v}" for v in values)
-    names = [*keys, *values]
+    updates = ", ".join([f"{v} = s.{v}" for v in values] + ([f"{touched} = CURRENT_TIMESTAMP"] if touched else []))
+    names = [*keys, *values, *([touched] if touched else [])]
+    given = [f"s.{n}" for n in (*keys, *values)] + (["CURRENT_TIMESTAMP"] if touched else [])
     return (
         f"MERGE INTO {table} t USING {staging} s ON {match}"
         f" WHEN MATCHED THEN UPDATE SET {updates}"
         f" WHEN NOT MATCHED THEN INSERT ({', '.join(names)})"
-        f" VALUES ({', '.join(f's.{n}' for n in names)})"
+        f" VALUES ({', '.join(given)})"
     )
 
 
@@ -109,5 +111,5 @@ class JdbcMetricSink(_Staged):
         keys = schemas.AGGREGATED_METRICS.key
         self._move(
             batch.select(*keys, "metric_value"),
-            merge_sql(self.table, self.staging, keys, ("metric_value",)),
+            merge_sql(self.table, self.staging, keys, ("metric_value",), touched="updated_at"),
         )

@@ -50,10 +50,27 @@ def feature_window_counts(
     )
 
 
+def window_users(
+    decoded: DataFrame, watermark: str = WATERMARK, width: str = WINDOW
+) -> DataFrame:
+    """One row per window and user with its events so far; for update mode, open windows included.
+
+    A grouped count is combined before the shuffle, so a user with most of a
+    batch sends one row per task and window. Readers count the users of a window.
+    """
+    return (
+        decoded.withWatermark("timestamp", watermark)
+        .filter(F.col("user_id").isNotNull())
+        .groupBy(timeparts.tumbling("timestamp", width), "user_id")
+        .agg(F.count("*").alias("events"))
+        .select(*timeparts.window_bounds(), "user_id", "events")
+    )
+
+
 def active_users_exact(
     decoded: DataFrame, watermark: str = WATERMARK, width: str = WINDOW
 ) -> DataFrame:
-    """Distinct users per closed window; for append mode.
+    """Distinct users per closed window, the newest ones withheld until the watermark passes; for append mode.
 
     The pairs of window and user are the state, spread by both, and are
     dropped when the watermark closes the window.

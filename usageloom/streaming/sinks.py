@@ -265,5 +265,17 @@ def user_metrics_latest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+WINDOW_USERS_ROW = T.StructType([
+    *ACTIVE_USERS_ROW.fields[:2], T.StructField("user_id", T.StringType(), False), T.StructField("events", T.LongType(), False),
+])
+
+
+def window_users_counted(spark: SparkSession, path: str) -> DataFrame:
+    """Users per window from the written (window, user) rows."""
+    keys = ("window_start", "window_end", "user_id")
+    rows = latest_versions(spark, path, WINDOW_USERS_ROW, keys)
+    return rows.groupBy("window_start", "window_end").agg(F.count("*").alias("active_users"))
+
+
 def active_users_latest(spark: SparkSession, path: str) -> DataFrame:
     return latest_versions(spark, path, ACTIVE_USERS_ROW, ("window_start", "window_end")).drop("version")
