@@ -1,6 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document is the set of its hashed lower-case words. The score is
+A document is the set of its hashed terms: lower-case words and, so that an
+inflected insult is known by its stem, the beginnings of ``STEMS`` characters
+of longer words. The score is
 sigmoid(bias + sum of w_i + sum over pairs i < j of <v_i, v_j>), so two terms
 that are harmless apart, such as an insult and the mention of a group, can
 count together.
@@ -28,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +42,8 @@ from usageloom.llm.common import ship_code, text_or_empty, written
 BUCKETS = 1 << 18
 RANK = 6
 TRAIN_ROWS = 40_000
-CHI = 12.0
+CHI = 30.0
+STEMS = range(4, 9)
 CUT = 0.3
 EPOCHS = 40
 BATCH = 256
@@ -73,21 +77,26 @@ def bucket_of(word: str) -> int:
     return xxh64_intdigest(word) & (BUCKETS - 1)
 
 
+def terms_of(word: str) -> list[str]:
+    """The word and its marked beginnings."""
+    return [word, *("^" + word[:k] for k in STEMS if k < len(word))]
+
+
 class Buckets(dict):
-    """Word to bucket, bounded."""
+    """Word to the buckets of its terms, bounded."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) >= 200_000:
             self.clear()
-        bucket = bucket_of(word)
+        buckets = [bucket_of(term) for term in terms_of(word)]
         if len(word) <= 64:
-            self[word] = bucket
-        return bucket
+            self[word] = buckets
+        return buckets
 
 
 def buckets_of(text: str, known: Buckets) -> np.ndarray:
     words = set(WORDS.findall(text.lower()))
-    return np.unique(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int64))
 
 
 def held_out() -> Column:
