@@ -16,15 +16,32 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges ``a``, ``b``; a component's name is its smallest node."""
     links = written(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                     .filter("hi <> lo").distinct(), "links")
-    state = None
-    while True:
+    while not are_stars(links):
         links = written(small_star(large_star(links)), "links")
-        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")),
-                              F.count_distinct("lo")).first())
-        if now == state:
-            return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
-                links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
-        state = now
+    return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
+        links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
+
+
+def are_stars(links: DataFrame) -> bool:
+    """Whether each node points at one node that points nowhere, which is then the smallest of its component."""
+    ends = links.select(F.col("hi").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in_")).unionByName(
+        links.select(F.col("lo").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in_")))
+    met = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in_").alias("in_"))
+    return met.filter("out > 1 OR (out = 1 AND in_ = 1)").isEmpty()
+
+
+def joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found``, which has every node, after the ends ``a``, ``b`` of each link lie in one component.
+
+    Only the components that links touch are worked on.
+    """
+    ends = links
+    for end in ("a", "b"):
+        named = found.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+        ends = ends.join(named, end)
+    touched = components(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    moved = touched.select(F.col("node").alias("component"), F.col("component").alias("_new"))
+    return found.join(moved, "component", "left").select("node", F.coalesce("_new", "component").alias("component"))
 
 
 def large_star(links: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from usageloom.llm.common import ship_code, text_or_empty, written
-from usageloom.llm.components import components
+from usageloom.llm.components import components, joined
 
 SHINGLE = 5
 PERCENT = 75
@@ -313,7 +313,7 @@ def nearest_only(pairs: DataFrame, most: int = NEAREST) -> DataFrame:
 
 
 def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """(node, component) of the classes that are linked with another."""
+    """(node, component) of the classes that meet another under some key."""
     keys = keys_of(classes)
     shared = written(keys.groupBy("key").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last"))
                      .filter("first <> last"), "shared-keys")
@@ -322,8 +322,9 @@ def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
     # only texts that meet another under some key are ever looked at again
     texts = written(documents.withColumnRenamed("doc_id", "class_id")
                     .join(met.select("class_id").distinct(), "class_id", "left_semi"), "met-texts")
-    edges = written(confirmed(pairs, texts), "links")
-    found = written(components(edges), "components")
+    linked = components(written(confirmed(pairs, texts), "links"))
+    found = written(texts.select(F.col("class_id").alias("node")).join(linked, "node", "left")
+                    .select("node", F.coalesce("component", "node").alias("component")), "components")
 
     members, tried = met.select("key", "slot", "class_id"), pairs
     for _ in range(ROUNDS):
@@ -332,8 +333,7 @@ def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
         if chosen.isEmpty():
             break
         tried = tried.unionByName(chosen)
-        edges = edges.unionByName(written(confirmed(chosen, texts), "links"))
-        found = written(components(edges), "components")
+        found = written(joined(found, written(confirmed(chosen, texts), "links")), "components")
     left = written(block_pairs(with_component(members, found), classes)
                    .join(tried, ["a", "b"], "left_anti"), "open-pairs")
     for choose in (lambda p: nearest_only(p, 1), nearest_only, lambda p: p.select("a", "b")):
@@ -341,8 +341,7 @@ def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
         if left.isEmpty():
             break
         chosen = written(choose(left), "chosen-pairs")
-        edges = edges.unionByName(written(confirmed(chosen, texts), "links"))
-        found = written(components(edges), "components")
+        found = written(joined(found, written(confirmed(chosen, texts), "links")), "components")
         left = left.join(chosen, ["a", "b"], "left_anti")
     return found
 
