@@ -174,3 +174,22 @@ def test_state_continues_over_batches(spark, tmp_path):
         exact_dedup.run_stream(spark, folder, spark.createDataFrame([], schema).schema, checkpoint)
     state = {r["digest"]: (r["seen"], r["keep_id"], r["keep_file"]) for r in exact_dedup.read_state(spark, checkpoint).collect()}
     assert state == {"x": (2, 2, "g"), "y": (2, 6, "f")}
+
+
+def test_sketches_let_no_similar_set_go():
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    for size in (40, 500, 520, 3000):
+        base = np.unique(draw.integers(0, 2**64, size, np.uint64))
+        sets = [np.unique(np.concatenate([base[draw.random(base.size) < share], draw.integers(0, 2**64, extra, np.uint64)]))
+                for share in (0.3, 0.6, 0.75, 0.8, 0.9, 1.0) for extra in (1, size // 20, size // 4)]
+        small = [(s[:near_dedup.SKETCH] >> np.uint64(32)).astype("<u4") for s in [base, *sets]]
+        allowed = near_dedup.may_be_alike(small[0], base.size, small[1:], np.array([s.size for s in sets]))
+        shared = np.array([np.intersect1d(base, s).size for s in sets])
+        union = np.array([np.union1d(base, s).size for s in sets])
+        alike = 100 * shared >= near_dedup.PERCENT * union
+        assert alike.any() and allowed[alike].all()
+        assert not allowed[100 * shared < 55 * union].any()
+        if size == 40:
+            assert (allowed == alike).all()

@@ -18,7 +18,11 @@ with a chance of some 1 in 1,000, one of 0.8 with 1 in 100,000.
    ``ROUNDS`` rounds each class of a meeting names its nearest partner alone,
    which joins the components of a large group as fast as they can halve.
 4. What lies apart then is compared in full: every pair within the distance is
-   named once, under the first key it shares, and confirmed.
+   tried once, under the first key it shares. The blocks carry the ``SKETCH``
+   smallest shingles of each class, which is the whole set of a text up to that
+   size, so a pair is named only if these allow the similarity, and confirmed.
+   A shared shingle is never missed; of larger sets the smallest shingles are a
+   fair sample, and only pairs 5 deviations below the similarity are let go.
 
 So a large group costs a star and a few rounds of one pair a class, not all its
 pairs, and no link between components is left untried. Keys, pairs and components stay in the executors.
@@ -50,6 +54,10 @@ DISTANCE, CHUNKS = 21, 11
 BLOCK = 1500
 ROUNDS = 3
 NEAREST = 3
+#: smallest shingles of a class that the last comparison sees
+SKETCH = 512
+#: share of them that larger sets have to share, 5 deviations below the similarity
+LEAST_SHARE = PERCENT / 100 - 5 * (PERCENT / 100 * (1 - PERCENT / 100) / SKETCH) ** 0.5
 
 FOLDED = "doc_id long, n_shingles long, digest string, signature binary"
 
@@ -166,6 +174,44 @@ def first_slots(equal: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(texts: DataFrame) -> DataFrame:
+    """(class_id, n_shingles, sketch): the leading 32 bits of the ``SKETCH`` smallest shingles."""
+
+    def smallest(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        known = WordHashes()
+        for batch in batches:
+            sizes, found = [], []
+            for text in batch.column("text"):
+                shingles = shingle_hashes(text.as_py(), known)
+                sizes.append(shingles.size)
+                found.append((shingles[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class_id"), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
+                names=["class_id", "n_shingles", "sketch"])
+
+    return texts.select("class_id", "text").mapInArrow(smallest, "class_id long, n_shingles long, sketch binary")
+
+
+def may_be_alike(mine: np.ndarray, size: int, others: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """Whether each other set can have the similarity to mine: surely not lost where both sketches are whole sets."""
+    most = np.uint32(0xFFFFFFFF)
+    known_to = np.array([o[-1] if n > SKETCH else most for o, n in zip(others, sizes, strict=True)], np.uint32)
+    if size > SKETCH:
+        known_to = np.minimum(known_to, mine[-1])
+    lengths = np.array([o.size for o in others])
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    flat = np.concatenate(others)
+    seen = flat <= np.repeat(known_to, lengths)
+    at = np.minimum(np.searchsorted(mine, flat), mine.size - 1)
+    shared = np.add.reduceat((mine[at] == flat) & seen, starts, dtype=np.int64)
+    union = np.add.reduceat(seen, starts, dtype=np.int64) + np.searchsorted(mine, known_to, "right") - shared
+    whole = (sizes <= SKETCH) & (size <= SKETCH)
+    enough = np.where(whole, 100 * shared >= PERCENT * union, shared >= LEAST_SHARE * union)
+    return enough & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+
+
 def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` whose signatures differ in at most ``DISTANCE`` values."""
     left = classes.select(F.col("class_id").alias("a"), F.col("signature").alias("_left"))
@@ -219,11 +265,14 @@ def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "class_id")))
 
 
-def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
+def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False,
+                texts: DataFrame | None = None) -> DataFrame:
     """(a, b, distance) within the distance, across components, of each key's classes, block against block.
 
-    ``nearest``: only one pair for each class of a meeting. Else every pair, once over all keys.
+    ``nearest``: only one pair for each class of a meeting. Else every pair, once over all keys, and given
+    ``texts`` only those whose sketches allow the similarity.
     """
+    sketched = texts is not None
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
     open_keys = written(sizes.filter("least <> most").select(
@@ -237,6 +286,11 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("meeting"),
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     signed = rows.join(classes.select("class_id", "signature"), "class_id")
+    seen = ["meeting", "class_id", "component", "block", "low", "high", "signature", "slot"]
+    if sketched:
+        compared_classes = members.join(open_keys, "key", "left_semi").select("class_id").distinct()
+        signed = signed.join(sketches(texts.join(compared_classes, "class_id", "left_semi")), "class_id")
+        seen += ["n_shingles", "sketch"]
 
     def across(batches: Iterator) -> Iterator:
         """Rows come sorted by meeting; a meeting has two blocks' rows at most."""
@@ -248,6 +302,9 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -
             side = np.array([r[2] == r[3] for r in rows])
             alone = rows[0][3] == rows[0][4]
             values = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(-1, SIZE)
+            if sketched:
+                sizes = np.array([r[7] for r in rows], np.int64)
+                shingles = [np.frombuffer(r[8], "<u4") for r in rows]
             out_a, out_b, out_d = [], [], []
             places = np.arange(ids.size)
             first = places if alone else places[side]
@@ -265,6 +322,9 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -
                 else:
                     named = np.flatnonzero(away <= DISTANCE)
                     named = named[first_slots(equal[named]) == rows[0][6]]
+                    if sketched and named.size:
+                        met = others[named]
+                        named = named[may_be_alike(shingles[i], sizes[i], [shingles[m] for m in met], sizes[met])]
                 hit = others[named]
                 out_a.append(np.minimum(ids[hit], ids[i]))
                 out_b.append(np.maximum(ids[hit], ids[i]))
@@ -276,8 +336,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -
 
         now, gathered = None, []
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in
-                       ("meeting", "class_id", "component", "block", "low", "high", "signature", "slot"))
+            columns = (batch.column(c).to_pylist() for c in seen)
             for meeting, *row in zip(*columns, strict=True):
                 if meeting != now and gathered:
                     yield compared(gathered)
@@ -287,8 +346,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False) -
         if gathered:
             yield compared(gathered)
 
-    sorted_rows = signed.repartition("meeting").sortWithinPartitions("meeting", "class_id").select(
-        "meeting", "class_id", "component", "block", "low", "high", "signature", "slot")
+    sorted_rows = signed.repartition("meeting").sortWithinPartitions("meeting", "class_id").select(*seen)
     named = sorted_rows.mapInArrow(across, "a long, b long, distance long")
     return named.distinct() if nearest else named
 
@@ -334,7 +392,7 @@ def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
             break
         tried = tried.unionByName(chosen)
         found = written(joined(found, written(confirmed(chosen, texts), "links")), "components")
-    left = written(block_pairs(with_component(members, found), classes)
+    left = written(block_pairs(with_component(members, found), classes, texts=texts)
                    .join(tried, ["a", "b"], "left_anti"), "open-pairs")
     for choose in (lambda p: nearest_only(p, 1), nearest_only, lambda p: p.select("a", "b")):
         left = written(still_apart(left, found), "open-pairs")
