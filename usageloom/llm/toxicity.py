@@ -28,14 +28,15 @@ are scored each; a null doc_id is not held out; an empty table gives an empty re
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from usageloom.llm.common import ship_code, text_or_empty, written
 
@@ -72,8 +73,6 @@ class Machine:
 
 
 def bucket_of(word: str) -> int:
-    from xxhash import xxh64_intdigest
-
     return xxh64_intdigest(word) & (BUCKETS - 1)
 
 
@@ -83,12 +82,12 @@ def terms_of(word: str) -> list[str]:
 
 
 class Buckets(dict):
-    """Word to the buckets of its terms, bounded."""
+    """Word to the buckets of its terms, 32 bits each in one bytes object, bounded to some 100 MB."""
 
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= 200_000:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= 500_000:
             self.clear()
-        buckets = [bucket_of(term) for term in terms_of(word)]
+        buckets = array("i", map(bucket_of, terms_of(word))).tobytes()
         if len(word) <= 64:
             self[word] = buckets
         return buckets
@@ -96,7 +95,7 @@ class Buckets(dict):
 
 def buckets_of(text: str, known: Buckets) -> np.ndarray:
     words = set(WORDS.findall(text.lower()))
-    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int64))
+    return np.unique(np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32))
 
 
 def held_out() -> Column:
@@ -115,7 +114,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
         seen = Buckets()
         for batch in batches:
-            found = [buckets_of(t.as_py(), seen).astype("int32") for t in batch.column("text")]
+            found = [buckets_of(t.as_py(), seen) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "buckets"])
 
