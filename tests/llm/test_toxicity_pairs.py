@@ -1,0 +1,26 @@
+"""Pairs of terms that tell nothing alone, learned through training on tables."""
+
+import random
+
+from usageloom.llm import toxicity
+
+
+def test_pair_of_neutral_terms_is_learned_through_train(spark):
+    """A text is toxic if it has both or neither of two words, so each word has the share of all texts."""
+    draw = random.Random(3)
+    docs, marks = [], []
+    for i in range(2000):
+        a, b = draw.random() < 0.5, draw.random() < 0.5
+        words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in draw.sample(range(200), 6)]
+        docs.append((i, " ".join(words + ["alpha"] * a + ["bravo"] * b)))
+        marks.append((i, int(a == b)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    rows = [(r["toxic"], r["buckets"]) for r in toxicity.training_rows(frame, labels).collect()]
+    toxic = sum(y for y, _ in rows)
+    for word in ("alpha", "bravo"):
+        has = [y for y, buckets in rows if toxicity.bucket_of(word) in buckets]
+        stats = [(toxicity.bucket_of(word), len(has), sum(has))]
+        assert toxicity.telling_buckets(stats, len(rows), toxic).size == 0, "neutral alone"
+    found = toxicity.toxicity_scores(frame, labels).filter("held_out").join(labels, "doc_id").collect()
+    assert len(found) > 300 and sum(r["predicted"] == r["toxic"] for r in found) > 0.95 * len(found)

@@ -9,8 +9,11 @@ count together.
 
 * Term statistics cover all labelled training rows: documents and toxic
   documents per bucket, counted where the rows are, one row per bucket and task.
-* Buckets whose share differs between the labels by chance alone are not used
-  (chi-squared below ``CHI``); there are at most ``BUCKETS``.
+* The machine starts from the buckets whose share differs between the labels by
+  more than chance (chi-squared from ``CHI`` on). It goes on with every bucket in at
+  least ``FLOOR`` training rows, whatever their labels, so pairs of terms that
+  tell nothing alone are learned. How many epochs that takes, none included, is
+  set by the loss on one fifth of the training rows that those fits do not see.
 * The machine is fitted on at most ``TRAIN_ROWS`` labelled rows, those whose
   identifiers hash lowest: a bounded sample, by parameter.
 * Every whole text is scored in the executors; the model is ``BUCKETS`` x
@@ -44,9 +47,13 @@ BUCKETS = 1 << 18
 RANK = 6
 TRAIN_ROWS = 40_000
 CHI = 30.0
+#: training rows a bucket must be in to be learned with all others
+FLOOR = 5
 STEMS = range(4, 9)
 CUT = 0.3
 EPOCHS = 40
+#: batches that learning with all buckets lasts at least, unless that takes over ``EPOCHS``; epochs at least
+STEPS, WIDE_EPOCHS = 600, 12
 BATCH = 256
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -140,39 +147,68 @@ def telling_buckets(stats: list[tuple[int, int, int]], rows: int, toxic: int, ch
     return np.sort(bucket[np.nan_to_num(value) >= chi].astype(np.int64))
 
 
+def rated(machine: Machine, rows: list[tuple[int, np.ndarray]]) -> float:
+    """The mean logistic loss."""
+    p = np.clip([machine.score(np.asarray(r[1], np.int64)) for r in rows], 1e-9, 1 - 1e-9)
+    y = np.array([r[0] for r in rows], np.float64)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+
 def fit(rows: list[tuple[int, list[int]]], used: np.ndarray, seed: int = 7) -> Machine:
     """Mini-batch AdaGrad on the logistic loss; the same rows give the same machine."""
     place = np.full(BUCKETS, -1, np.int64)
     place[used] = np.arange(used.size)
-    y = np.array([r[0] for r in rows], np.float64)
-    share = float(y.mean()) if rows else 0.0
+    share = float(np.mean([r[0] for r in rows])) if rows else 0.0
     prior = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))) if 0 < share < 1 else -30.0
     factors = np.random.default_rng(seed).normal(0, 0.05, (used.size, RANK))
     machine = Machine(prior, place, np.zeros(used.size), factors)
     if not used.size or not 0 < share < 1:
         machine.place = np.full(BUCKETS, -1, np.int64)
         return machine
-    terms = [place[np.asarray(r[1], np.int64)] for r in rows]
-    terms = [t[t >= 0] for t in terms]
+    for _ in descent(machine, rows, EPOCHS, seed):
+        pass
+    return machine
+
+
+def widened(machine: Machine, more: np.ndarray, seed: int = 7) -> Machine:
+    """The same scores but for the small first factors of the buckets it does not know yet."""
+    new = more[machine.place[more] < 0]
+    known = np.flatnonzero(machine.place >= 0)
+    rows = machine.place[known]
+    place = np.full(BUCKETS, -1, np.int64)
+    place[known], place[new] = np.arange(known.size), known.size + np.arange(new.size)
+    first = np.random.default_rng(seed).normal(0, 0.05 / RANK, (new.size, RANK))
+    return Machine(machine.bias, place, np.concatenate([machine.weights[rows], np.zeros(new.size)]),
+                   np.concatenate([machine.factors[rows].reshape(-1, RANK), first]))
+
+
+def descent(machine: Machine, rows: list[tuple[int, np.ndarray]], epochs: int, seed: int) -> Iterator[int]:
+    """Improves the machine in place and yields after each epoch."""
+    y = np.array([r[0] for r in rows], np.float64)
+    terms = [machine.place[np.asarray(r[1], np.int64)] for r in rows]
+    terms = [t[t >= 0].astype(np.int32) for t in terms]
     order = np.random.default_rng(seed)
     w, v = machine.weights, machine.factors
-    seen_w, seen_v, seen_b = np.full(used.size, 1e-2), np.full(v.shape, 1e-2), 1e-2
+    seen_w, seen_v, seen_b = np.full(w.size, 1e-2), np.full(v.shape, 1e-2), 1e-2
     rate, penalty = 0.1, 1e-4
-    for _ in range(EPOCHS):
+    at = np.zeros(w.size, np.int64)
+    for epoch in range(epochs):
         shuffled = order.permutation(len(terms))
         for start in range(0, len(terms), BATCH):
             batch = shuffled[start:start + BATCH]
             sizes = np.array([terms[i].size for i in batch])
             flat = np.concatenate([terms[i] for i in batch])
             doc = np.repeat(np.arange(batch.size), sizes)
-            sums = np.zeros((batch.size, RANK))
-            np.add.at(sums, doc, v[flat])
-            squares = np.bincount(doc, (v[flat] ** 2).sum(axis=1), batch.size)
+            own = v[flat]
+            sums = np.stack([np.bincount(doc, own[:, f], batch.size) for f in range(RANK)], 1)
+            squares = np.bincount(doc, (own ** 2).sum(axis=1), batch.size)
             raw = machine.bias + np.bincount(doc, w[flat], batch.size) + 0.5 * ((sums ** 2).sum(axis=1) - squares)
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[batch]) / batch.size
-            touched, back = np.unique(flat, return_inverse=True)
+            touched = np.flatnonzero(np.bincount(flat, minlength=w.size))
+            at[touched] = np.arange(touched.size)
+            back = at[flat]
             grad_w = np.bincount(back, error[doc], touched.size) + penalty * w[touched]
-            each = error[doc][:, None] * (sums[doc] - v[flat])
+            each = error[doc][:, None] * (sums[doc] - own)
             grad_v = np.stack([np.bincount(back, each[:, f], touched.size) for f in range(RANK)], 1) + penalty * v[touched]
             seen_w[touched] += grad_w ** 2
             seen_v[touched] += grad_v ** 2
@@ -181,6 +217,38 @@ def fit(rows: list[tuple[int, list[int]]], used: np.ndarray, seed: int = 7) -> M
             slope = float(error.sum())
             seen_b += slope ** 2
             machine.bias -= rate * slope / seen_b ** 0.5
+        yield epoch
+
+
+def fit_wide(rows: list[tuple[int, np.ndarray]], telling: np.ndarray, frequent: np.ndarray, seed: int = 7) -> Machine:
+    """The machine of the telling buckets, then of all frequent ones for as many epochs as a fold of ``rows`` bears out."""
+    base = fit(rows, telling, seed)
+    part, fold = [r for i, r in enumerate(rows) if i % 5], rows[::5]
+    toxic = sum(r[0] for r in part)
+    if not 0 < toxic < len(part) or not frequent.size:
+        return base
+    # the fold's rows must not choose the buckets it starts from either
+    n, k = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for label, buckets in part:  # each bucket once a row
+        n[buckets] += 1
+        k[buckets] += label
+    seen = np.flatnonzero(n)
+    first = fit(part, telling_buckets(list(zip(seen, n[seen], k[seen], strict=True)), len(part), toxic), seed)
+    least, best = rated(first, fold), 0
+    wide = widened(first, np.intersect1d(seen, frequent), seed)
+    epochs = min(EPOCHS, max(WIDE_EPOCHS, -(-STEPS * BATCH // len(part))))
+    for epoch in descent(wide, part, epochs, seed):
+        loss = rated(wide, fold)
+        if loss < least:
+            least, best = loss, epoch + 1
+    if not best:
+        return base
+    present = np.zeros(BUCKETS, bool)
+    for _, buckets in rows:
+        present[buckets] = True
+    machine = widened(base, frequent[present[frequent]], seed)
+    for _ in descent(machine, rows, best, seed):
+        pass
     return machine
 
 
@@ -188,14 +256,21 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Machine
     ship_code(docs.sparkSession)
     rows = written(training_rows(docs, labels), "toxicity-terms")
     counts = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    used = telling_buckets(term_statistics(rows), counts[0], counts[1])
-    kept = rows.mapInArrow(_only(used), "doc_id long, toxic int, buckets array<int>")
-    sample = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("toxic", "buckets").collect()
-    return fit([(r[0], r[1]) for r in sample], used)
+    stats = term_statistics(rows)
+    telling = telling_buckets(stats, counts[0], counts[1])
+    frequent = np.sort(np.array([b for b, n, _ in stats if n >= FLOOR], np.int64))
+    rank = F.xxhash64("doc_id")
+    # the last place of the sample is found from identifiers alone, so no task sorts rows with their buckets
+    last = (rows.select(F.struct(rank.alias("h"), "doc_id").alias("at")).orderBy("at").limit(most)
+            .agg(F.max("at.h").alias("h")).first()["h"])
+    kept = rows.withColumn("h", rank).filter(F.col("h") <= F.lit(last)).mapInArrow(
+        _only(np.union1d(telling, frequent)), "doc_id long, h long, toxic int, buckets binary")
+    found = sorted(kept.toLocalIterator(), key=lambda r: (r["h"], r["doc_id"], bytes(r["buckets"])))[:most]
+    return fit_wide([(r["toxic"], np.frombuffer(r["buckets"], np.int32)) for r in found], telling, frequent)
 
 
 def _only(used: np.ndarray):
-    """Keeps the used buckets of each row, so that the sample is small."""
+    """Keeps the used buckets of each row, 32 bits each in one bytes object, so that the sample is small."""
     flags = np.zeros(BUCKETS, bool)
     flags[used] = True
 
@@ -203,11 +278,11 @@ def _only(used: np.ndarray):
         import pyarrow as pa
 
         for batch in batches:
-            lists = [np.asarray(x.as_py(), np.int64) for x in batch.column("buckets")]
+            lists = [np.asarray(x.values, np.int64) if x.is_valid else np.zeros(0, np.int64) for x in batch.column("buckets")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"),
-                 pa.array([x[flags[x]].astype("int32") for x in lists], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "buckets"])
+                [batch.column("doc_id"), batch.column("h"), batch.column("toxic"),
+                 pa.array([x[flags[x]].astype("int32").tobytes() for x in lists], pa.binary())],
+                names=["doc_id", "h", "toxic", "buckets"])
 
     return only
 
