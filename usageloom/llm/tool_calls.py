@@ -1,7 +1,7 @@
 """Tool-call linking for chat data.
 
 Messages carry tool calls (``tool_calls``: a JSON array of objects with ``id``,
-``name`` and ``arguments``) or a result (``tool_call_id``). The operator
+``name`` and ``arguments``), a result (``tool_call_id``) or both. The operator
 
 * joins results to calls by (conversation, identifier);
 * finds which other calls a call needs: every ``{"$ref": "<id>"}`` in its arguments;
@@ -21,6 +21,11 @@ call); ``missing_dependency`` or ``cycle``. ``problem`` says what is wrong.
 Defined cases: null conversation or identifier: the event is kept and linked
 with nothing; null or empty texts become null content; the first of repeated
 rows counts and later ones are duplicates; empty tables give an empty result.
+``tool_calls`` that is neither null nor a JSON array, and each element that is
+no object, is one ``invalid`` call without identifier whose JSON has the whole
+column under ``raw``; arguments that are no JSON are under ``raw`` as well. A
+message with calls and ``tool_call_id`` gives a result and its calls. A text
+beside calls is the ``content`` of the result or else of the message's first call.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -113,14 +118,28 @@ def references(value: Any) -> set[str]:
 def events_of(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
     """One row per call or result. ``messages``: conv_id, turn, text, tool_calls, tool_call_id."""
     ship_code(messages.sparkSession)
-    spread = messages.select(
-        "conv_id", "turn", "text", "tool_call_id",
-        F.posexplode_outer(F.from_json("tool_calls", CALLS)).alias("place", "call"))
-    events = spread.filter(F.col("call").isNotNull() | F.col("tool_call_id").isNotNull()).select(
-        "conv_id", "turn", F.coalesce("place", F.lit(0)).alias("place"),
-        F.when(F.col("call").isNotNull(), "call").otherwise("result").alias("kind"),
-        F.coalesce("call.id", F.when(F.col("call").isNull(), F.col("tool_call_id"))).alias("call_id"),
-        F.col("call.name").alias("name"), F.col("call.arguments").alias("arguments"), "text")
+    parsed = messages.select(
+        "conv_id", "turn", "text", "tool_calls", "tool_call_id", F.from_json("tool_calls", CALLS).alias("calls"))
+    answers = F.col("tool_call_id").isNotNull()
+
+    def event(place: Column, kind: str, call_id: Column, name: Column, arguments: Column, raw: Column, text: Column) -> Column:
+        return F.struct(
+            place.cast("int").alias("place"), F.lit(kind).alias("kind"), call_id.alias("call_id"), name.alias("name"),
+            arguments.alias("arguments"), raw.alias("raw"), text.alias("text"))
+
+    nothing = F.lit(None).cast("string")
+    beside = F.when(~answers, F.col("text"))
+    calls = F.transform("calls", lambda c, i: event(
+        i, "call", c["id"], c["name"], c["arguments"], F.when(c.isNull(), F.col("tool_calls")), F.when(i == 0, beside)))
+    broken = F.when(F.col("tool_calls").isNotNull(), F.array(
+        event(F.lit(0), "call", nothing, nothing, nothing, F.col("tool_calls"), beside)))
+    # the result of a message that calls as well stands before its calls
+    place = F.when(F.col("tool_calls").isNull(), 0).otherwise(-1)
+    result = F.when(answers, F.array(
+        event(place, "result", F.col("tool_call_id"), nothing, nothing, nothing, F.col("text"))))
+    empty = F.slice(F.array(event(F.lit(0), "call", nothing, nothing, nothing, nothing, nothing)), 1, 0)
+    events = parsed.select(
+        "conv_id", "turn", F.inline(F.concat(F.coalesce(calls, broken, empty), F.coalesce(result, empty))))
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -134,19 +153,25 @@ def events_of(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
             for r in batch.to_pylist():
                 needs, problem = [], None
                 if r["kind"] == "result":
-                    body = canonical({"content": r["text"] or None, "tool_call_id": r["call_id"]})
+                    text = canonical({"content": r["text"] or None, "tool_call_id": r["call_id"]})
                 else:
-                    try:
-                        arguments = json.loads(r["arguments"] or "null")
-                        body = canonical({"arguments": arguments, "id": r["call_id"], "name": r["name"]})
-                        needs = sorted(references(arguments))
-                        problem = ("unknown_tool" if r["name"] not in tools
-                                   else breach(arguments, tools[r["name"]]))
-                    except ValueError:
-                        problem = "$: not JSON"
-                        body = canonical({"arguments": None, "id": r["call_id"], "name": r["name"]})
+                    body = {"arguments": None, "id": r["call_id"], "name": r["name"]}
+                    body |= {"content": r["text"]} if r["text"] else {}
+                    if r["raw"] is not None:
+                        problem = "$: no array of calls"
+                        text = canonical(body | {"raw": r["raw"]})
+                    else:
+                        try:
+                            arguments = json.loads(r["arguments"] or "null")
+                            text = canonical(body | {"arguments": arguments})
+                            needs = sorted(references(arguments))
+                            problem = ("unknown_tool" if r["name"] not in tools
+                                       else breach(arguments, tools[r["name"]]))
+                        except ValueError:
+                            problem = "$: not JSON"
+                            text = canonical(body | {"raw": r["arguments"]})
                 out.append({k: r[k] for k in ("conv_id", "turn", "place", "kind", "call_id", "name")}
-                           | {"body": body, "needs": needs, "problem": problem})
+                           | {"body": text, "needs": needs, "problem": problem})
             yield pa.RecordBatch.from_pylist(out, schema=kind)
 
     return events.mapInArrow(read, EVENTS)
@@ -258,7 +283,8 @@ def messages_of(conversations: DataFrame) -> DataFrame:
     call = F.to_json(F.array(F.struct(
         identifier(F.col("turn")).alias("id"), F.lit("ask").alias("name"), F.to_json(own).alias("arguments"))))
     return conversations.select(
-        "conv_id", "turn", "text",
+        "conv_id", "turn",
+        F.when(F.col("role") != "user", F.col("text")).alias("text"),  # a user turn's text is its call's argument
         F.when(F.col("role") == "user", call).alias("tool_calls"),
         F.when(F.col("role") == "assistant", identifier(F.col("turn") - 1)).alias("tool_call_id"))
 
