@@ -45,7 +45,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: trained models and tokenizers are beyond SQL; tests compare the stages with brute force
+#: trained models and tokenizers are beyond SQL; tests cover the stages' operators one by one, no test runs the pipeline
 ORACLE_SQL = None
 
 
