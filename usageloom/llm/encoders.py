@@ -121,7 +121,10 @@ class ByteBpe:
 
 
 class WordBpe:
-    """BPE with word ends, lower case and without white space, from a tokenizers file."""
+    """BPE with word ends, lower case and without white space, from a tokenizers file.
+
+    Unlike the library's plain call, strings of special tokens in a text are ordinary text.
+    """
 
     _letters = re.compile(rf"([{LETTERS}]+)([{MARKS}]*)")
     _units_by_controls = re.compile(r"[\S\x1c-\x1f]+")
