@@ -25,7 +25,9 @@ with a chance of some 1 in 1,000, one of 0.8 with 1 in 100,000.
    fair sample, and only pairs 5 deviations below the similarity are let go.
 
 So a large group costs a star and a few rounds of one pair a class, not all its
-pairs, and no link between components is left untried. Keys, pairs and components stay in the executors.
+pairs. A link between components is missed only by the two chances above: the
+signature's, and for sets of over ``SKETCH`` shingles the sketch's, some 1 in a
+million for a pair of similarity exactly 0.75. Keys, pairs and components stay in the executors.
 
 Defined cases: a text without words is linked with nothing; one with fewer
 words than a shingle is one shingle; rows that share a doc_id are one document,
