@@ -76,6 +76,22 @@ def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_faults(raw_events(spark, sf_dir))
 
 
+#: arrivals the delayed feed comes in, each a part of the time the log spans
+ARRIVALS = 4
+
+
+def delayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with the ``arrival`` of each: that of its time, but one in ten comes an arrival later, some even two."""
+    events = raw_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+    first, last = (events.agg(f(micros).alias("at")).scalar() for f in (F.min, F.max))
+    own = F.call_function("div", (micros - first) * ARRIVALS, last - first + 1)
+    delay = F.when(F.col("id") % 50 == 7, 2).when(F.col("id") % 10 == 3, 1).otherwise(0)
+    placed = events.withColumn("arrival", F.least(own + delay, F.lit(ARRIVALS - 1)).cast("int"))
+    encoded = encode_events(placed, carried=("id", "arrival"))
+    return encoded.select(F.lit(0).alias("partition"), F.col("id").alias("offset"), "key", "value", "arrival")
+
+
 def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query text per event, and one holding each document as a string literal."""
     user = F.col("user_id")

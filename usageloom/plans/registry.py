@@ -25,8 +25,8 @@ from usageloom.plans import feeds
 from usageloom.plans.suite import suite_row_counts
 from usageloom.sources.clickstream import raw_events
 from usageloom.sources.event_log import read_event_log, read_quarantine
-from usageloom.sources.messages import as_raw_events, decode_events, encode_events
-from usageloom.streaming import jobs, sinks
+from usageloom.sources.messages import as_raw_events, decode_events, encode_events, read_event_stream
+from usageloom.streaming import jobs, replay, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +201,46 @@ def active_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(sinks.window_users_counted(spark, path), "window_start", "window_end")
 
 
+#: how far behind the newest time a delayed message still counts, and the windows it is counted in
+PATIENCE, BROAD = "2 days", "1 hour"
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> replay.Replay:
+    folder = shared_folder(spark, "replay")
+    feed = replay.by_arrival(feeds.delayed_messages(spark, sf_dir), f"{folder}/feed")
+    return replay.replay(feed, feeds.ARRIVALS, folder, PATIENCE, BROAD)
+
+
+def late_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per hour what came in time, what came late and still counted, and what the watermark dropped."""
+    replayed = _replayed(spark, sf_dir)
+    counted = sinks.metrics_latest(spark, f"{replayed.output}/aggregated_metrics")
+    return _plain_time(replay.lateness(replayed, counted, BROAD), "window_start", "window_end")
+
+
+def watermark_progress_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per arrival the engine's own account: watermark, messages, and windows whose late messages it dropped."""
+    return _plain_time(_replayed(spark, sf_dir).progress(spark), "watermark")
+
+
+def standing_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both standing queries on their own trigger over the damaged feed: per minute what each of them stored."""
+    folder = shared_folder(spark, "standing")
+    feeds.faulty_messages(spark, sf_dir).write.parquet(f"{folder}/inbox")
+    stream = read_event_stream(spark, "parquet", f"{folder}/inbox", replay.MESSAGE)
+    queries = jobs.start_ingest(stream, f"{folder}/out", f"{folder}/checkpoints")
+    jobs.drain(queries)
+    minute = F.date_trunc("minute", "event_timestamp").alias("window_start")
+    stored = (
+        read_event_log(spark, f"{folder}/out/raw_events").select(minute, F.lit(1).alias("logged"), F.lit(0).alias("refused"))
+        .unionByName(read_quarantine(spark, f"{folder}/out/raw_events").select(
+            minute, F.lit(0).alias("logged"), F.lit(1).alias("refused")))
+        .groupBy("window_start").agg(F.sum("logged").alias("logged"), F.sum("refused").alias("refused"))
+    )
+    counted = sinks.metrics_latest(spark, f"{folder}/out/aggregated_metrics").select("window_start", "metric_value")
+    return _plain_time(stored.join(counted, "window_start", "left"), "window_start")
+
+
 # --- upgrade prediction -------------------------------------------------------
 
 
@@ -306,6 +346,9 @@ QUERIES: dict[str, Query] = {
     "user_metrics_stream": user_metrics_stream,
     "feature_usage_stream": feature_usage_stream,
     "active_users_stream": active_users_stream,
+    "late_events_stream": late_events_stream,
+    "watermark_progress_stream": watermark_progress_stream,
+    "standing_ingest_stream": standing_ingest_stream,
     "user_features": _on_events(features.user_features),
     "user_features_leak_free": _on_events(lambda e: features.user_features(e, leak_free=True)),
     "label_balance": _on_labels(features.label_balance),

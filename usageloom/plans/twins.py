@@ -162,6 +162,33 @@ decoded AS (
 )"""
 
 
+# The delayed feed with the watermark each arrival is judged by, arrival after arrival.
+DELAYED = f"""{RAW_EVENTS},
+sent AS (
+  SELECT event_timestamp,
+         least((epoch_us(event_timestamp) - min(epoch_us(event_timestamp)) OVER ()) * 4
+               // (max(epoch_us(event_timestamp)) OVER () - min(epoch_us(event_timestamp)) OVER () + 1)
+               + CASE WHEN id % 50 = 7 THEN 2 WHEN id % 10 = 3 THEN 1 ELSE 0 END, 3)::INTEGER AS arrival
+  FROM raw_events
+),
+arrivals AS (
+  SELECT arrival, count(event_timestamp) AS messages, max(event_timestamp) AS newest
+  FROM range(4) t(arrival) LEFT JOIN sent USING (arrival) GROUP BY arrival
+),
+marks AS (
+  SELECT arrival::INTEGER AS arrival, messages,
+         date_trunc('millisecond', max(newest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+           - INTERVAL 2 DAY AS watermark
+  FROM arrivals
+),
+judged AS (
+  SELECT s.*, watermark, date_trunc('hour', event_timestamp) AS window_start,
+         coalesce(event_timestamp < watermark, false) AS late,
+         coalesce(date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= watermark, false) AS gone
+  FROM sent s JOIN marks USING (arrival)
+)"""
+
+
 def _joined(rules: list[tuple[str, str]]) -> str:
     cases = ", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in rules)
     return f"array_to_string(list_filter([{cases}], lambda x: x IS NOT NULL), '|')"
@@ -375,6 +402,19 @@ SELECT id, reasons = '' AS is_valid, reasons FROM judged""",
     "raw_events_stream": f"""WITH {FEED}
 SELECT id, user_id, session_id, event_timestamp, event_type, plan_tier, feature_name, country,
        {STORAGE} AS reasons FROM decoded""",
+    "late_events_stream": f"""WITH {DELAYED}
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) FILTER (WHERE NOT late) AS on_time,
+       count(*) FILTER (WHERE late AND NOT gone) AS late_kept, count(*) FILTER (WHERE gone) AS dropped
+FROM judged GROUP BY window_start""",
+    "watermark_progress_stream": f"""WITH {DELAYED}
+SELECT arrival, watermark, messages,
+       (SELECT count(DISTINCT window_start) FROM judged j WHERE j.arrival = m.arrival AND gone) AS dropped_updates
+FROM marks m""",
+    "standing_ingest_stream": f"""WITH {FEED},
+judged AS (SELECT date_trunc('minute', event_timestamp) AS window_start, {STORAGE} AS reasons FROM decoded)
+SELECT window_start, count(*) FILTER (WHERE reasons = '') AS logged, count(*) FILTER (WHERE reasons <> '') AS refused,
+       CASE WHEN window_start IS NOT NULL THEN CAST(count(*) AS DOUBLE) END AS metric_value
+FROM judged GROUP BY window_start""",
     "check_constraints": f"""WITH {FEED},
 landed AS (SELECT *, TIMESTAMP '2024-01-01' AS ingested_at FROM decoded),
 {USER_METRICS}, {FEATURE_USAGE},

@@ -58,8 +58,8 @@ def read_event_stream(
     return reader.load(path) if path else reader.load()
 
 
-def encode_events(events: DataFrame) -> DataFrame:
-    """``raw_events`` rows as ``key`` and ``value`` bytes."""
+def encode_events(events: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``raw_events`` rows as ``key`` and ``value`` bytes, behind the ``carried`` columns."""
     payload = F.struct(
         F.col("user_id").alias("user_id"),
         F.col("session_id").alias("session_id"),
@@ -70,6 +70,7 @@ def encode_events(events: DataFrame) -> DataFrame:
         F.col("country").alias("country"),
     )
     return events.select(
+        *carried,
         F.col("user_id").cast("binary").alias("key"),
         F.to_json(payload, JSON_OPTIONS).cast("binary").alias("value"),
     )
@@ -82,13 +83,13 @@ def publish(events: DataFrame, brokers: str, topic: str, **more: str) -> None:
     ).save()
 
 
-def decode_events(messages: DataFrame) -> DataFrame:
-    """The seven fields, plus the untouched text and the topic position if there is one.
+def decode_events(messages: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The seven fields, plus the untouched text, the topic position if there is one, and ``carried`` columns.
 
     Unreadable text becomes NULL fields, a wrong field only that field.
     """
     text = F.col("value").cast("string")
-    carried = [c for c in POSITION if c in messages.columns]
+    carried = [*(c for c in POSITION if c in messages.columns), *carried]
     return messages.select(
         *carried,
         text.alias("raw_value"),

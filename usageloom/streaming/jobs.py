@@ -172,6 +172,16 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery]) -> None:
                 query.stop()
 
 
+def drain(queries: list[StreamingQuery]) -> None:
+    """Lets standing queries finish what has arrived, on their own triggers, and stops them; a failure is raised."""
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def watermark_of(query: StreamingQuery) -> Column | None:
     """The event time up to which windows are closed, once the query has one."""
     progress = query.lastProgress
