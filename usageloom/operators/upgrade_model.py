@@ -13,6 +13,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,6 +130,29 @@ def train_logistic(train: DataFrame) -> PipelineModel:
     return stored(PipelineModel(stages=[*scaler.stages, model]), train)
 
 
+INTERCEPT = "(intercept)"
+
+
+def coefficients(spark, model: PipelineModel, names: list[str]) -> DataFrame:
+    """``feature`` and ``coefficient`` on the scaled features, the intercept among them."""
+    fitted = model.stages[-1]
+    values = [*(float(c) for c in fitted.coefficients), float(fitted.intercept)]
+    return spark.createDataFrame(list(zip([*names, INTERCEPT], values)), "feature string, coefficient double")
+
+
+def fitted_moments(model: PipelineModel, train: DataFrame, names: list[str]) -> DataFrame:
+    """Per feature the sum of probability times value plus the penalty's pull: the certificate of a fit.
+
+    At the optimum, and only there since the loss is convex, it equals the sum of label times value.
+    """
+    fitted = model.stages[-1]
+    scored = model.transform(train).select(
+        vector_to_array("probability")[1].alias("p"), vector_to_array("x_scaled").alias("v"))
+    sums = [F.sum(F.col("p") * F.col("v")[i]) + F.lit(float(c)) for i, c in enumerate(fitted.coefficients)]
+    cells = [F.struct(F.lit(n).alias("feature"), s.alias("moment")) for n, s in zip([*names, INTERCEPT], [*sums, F.sum("p")])]
+    return scored.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
+
+
 def balanced_weights(train: DataFrame) -> DataFrame:
     """``weight`` = rows / (labels * rows of the label); one row per label is broadcast."""
     per_label = train.groupBy("label").agg(F.count("*").alias("_n"))

@@ -19,6 +19,7 @@ from usageloom.operators import (
     readonly,
     retention,
     rollups,
+    trees,
     upgrade_model,
 )
 from usageloom.plans import feeds
@@ -305,6 +306,53 @@ def forest_balanced_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upgrade_model.classification_report(upgrade_model.predict(model, data.test))
 
 
+def _rounded(frame: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Both engines' last digits differ; a zero has no sign."""
+    return frame.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
+
+
+def logistic_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _prepared(spark, sf_dir)
+    model = upgrade_model.train_logistic(data.train)
+    return _rounded(upgrade_model.coefficients(spark, model, data.names), 4, "coefficient")
+
+
+def logistic_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted moments; their twin knows nothing of the fit, only labels and values."""
+    data = _prepared(spark, sf_dir)
+    model = upgrade_model.train_logistic(data.train)
+    return _rounded(upgrade_model.fitted_moments(model, data.train, data.names), 4, "moment")
+
+
+SPLIT_DIGITS = ("gain", "left_0", "left_1", "right_0", "right_1")
+
+
+def _split_search(balanced: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        data = _prepared(spark, sf_dir)
+        train = upgrade_model.balanced_weights(data.train) if balanced else data.train
+        return _rounded(trees.best_split(train, data.names), 6, *SPLIT_DIGITS)
+
+    return query
+
+
+def _forest_stump(balanced: bool) -> Query:
+    """The first split of the library's forest where nothing is left to chance."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        data = _prepared(spark, sf_dir)
+        nodes = trees.node_table(trees.train_stump(data.train, data.names, balanced), spark)
+        return _rounded(trees.root_split(nodes, data.names), 6, *SPLIT_DIGITS)
+
+    return query
+
+
+def stump_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _prepared(spark, sf_dir)
+    nodes = trees.node_table(trees.train_stump(data.train, data.names), spark)
+    return _rounded(trees.node_importances(nodes, data.names), 6, "decrease", "importance")
+
+
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _prepared(spark, sf_dir)
     model = upgrade_model.train_forest(data.train)
@@ -364,4 +412,11 @@ QUERIES: dict[str, Query] = {
     "forest_report": forest_report,
     "forest_balanced_report": forest_balanced_report,
     "feature_importances": feature_importances,
+    "logistic_coefficients": logistic_coefficients,
+    "logistic_optimality": logistic_optimality,
+    "gini_split": _split_search(balanced=False),
+    "gini_split_balanced": _split_search(balanced=True),
+    "forest_stump": _forest_stump(balanced=False),
+    "forest_stump_balanced": _forest_stump(balanced=True),
+    "stump_importances": stump_importances,
 }

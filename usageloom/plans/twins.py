@@ -128,6 +128,102 @@ def _encoded(source: str) -> str:
     return f"encoded AS ({numeric}\n  UNION ALL {levels})"
 
 
+# Scaled training and test rows as vectors, in the order of feature names, with a one for the intercept.
+VECTORS = f"""{SPLIT}, {_encoded('split_features')},
+moments AS (SELECT feature, avg(value) AS mean, stddev_pop(value) AS deviation
+            FROM encoded WHERE split = 'train' GROUP BY feature),
+scaled AS (
+  SELECT e.user_id, e.split, e.feature, CASE WHEN deviation = 0 THEN 0 ELSE (value - mean) / deviation END AS z
+  FROM encoded e JOIN moments m ON m.feature = e.feature
+),
+vectors AS (
+  SELECT user_id, any_value(split) AS split, list_append(list(z ORDER BY feature), 1.0::DOUBLE) AS v
+  FROM scaled GROUP BY user_id
+),
+labelled AS (SELECT x.split, x.v, f.upgraded AS y FROM vectors x JOIN user_features f ON f.user_id = x.user_id),
+train AS (SELECT v, y FROM labelled WHERE split = 'train'),
+size AS (SELECT len(any_value(v)) AS d FROM train),
+axes AS (SELECT unnest(range(1, d + 1))::INTEGER AS j FROM size),
+names AS (
+  SELECT (row_number() OVER (ORDER BY feature))::INTEGER AS j, feature FROM moments
+  UNION ALL SELECT d, '(intercept)' FROM size
+)"""
+
+# Newton steps with the Hessian's upper bound X'X / 4 + penalty, whose inverse is made once by elimination:
+# each step lowers the loss, and the steps end where the gradient does.
+LOGISTIC = f"""{VECTORS},
+curvature AS (
+  SELECT a.j AS i, b.j AS j, sum(v[a.j] * v[b.j]) / 4 + CASE WHEN a.j = b.j AND a.j < (SELECT d FROM size) THEN 1 ELSE 0 END AS c
+  FROM train, axes a, axes b GROUP BY a.j, b.j
+),
+lines AS (
+  SELECT i, list_concat(list(c ORDER BY j), list(CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ORDER BY j)) AS line
+  FROM curvature GROUP BY i
+),
+eliminated(k, m) AS (
+  SELECT 1, list(line ORDER BY i) FROM lines
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN p ELSE list_transform(r, lambda x, j: x - r[k] * p[j]) END)
+  FROM (SELECT k, m, list_transform(m[k], lambda x: x / m[k][k]) AS p FROM eliminated WHERE k <= (SELECT d FROM size))
+),
+inverse AS (
+  SELECT list_transform(m, lambda r: r[d + 1:]) AS b FROM eliminated, size WHERE k = d + 1
+),
+steps(n, w) AS (
+  SELECT 0, list_transform(range(d), lambda x: 0.0::DOUBLE) FROM size
+  UNION ALL
+  SELECT n + 1, list_transform(w, lambda x, j: x + list_dot_product(b[j], g))
+  FROM (
+    SELECT n, any_value(w) AS w, list(slope - CASE WHEN j < len(w) THEN w[j] ELSE 0 END ORDER BY j) AS g
+    FROM (
+      SELECT n, j, any_value(w) AS w, sum((y - 1 / (1 + exp(-list_dot_product(w, v)))) * v[j]) AS slope
+      FROM steps, train, axes WHERE n < 300 GROUP BY n, j
+    ) GROUP BY n
+  ), inverse
+),
+optimum AS (SELECT w FROM steps WHERE n = 300)"""
+
+def _split_search(weight: str) -> str:
+    running = ", ".join(
+        f"sum({c}) OVER (PARTITION BY feature ORDER BY value) AS {c}_l, sum({c}) OVER (PARTITION BY feature) AS {c}_a"
+        for c in ("n", "zero", "one")
+    )
+    gini = "(1 - ({0} / ({0} + {1})) ** 2 - ({1} / ({0} + {1})) ** 2)".format
+    return f"""{SPLIT}, {_encoded('split_features')},
+training AS (
+  SELECT e.feature, e.value, f.upgraded AS y, {weight} AS w
+  FROM encoded e JOIN split_features f ON f.user_id = e.user_id WHERE f.split = 'train'
+),
+cells AS (
+  SELECT feature, value, count(*) AS n, coalesce(sum(w) FILTER (WHERE y = 0), 0) AS zero, coalesce(sum(w) FILTER (WHERE y = 1), 0) AS one
+  FROM training GROUP BY feature, value
+),
+sides AS (
+  SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS following, {running} FROM cells
+),
+gains AS (
+  SELECT feature, (value + following) / 2 AS threshold, n_l AS left_rows, n_a - n_l AS right_rows,
+         zero_l AS left_0, one_l AS left_1, zero_a - zero_l AS right_0, one_a - one_l AS right_1,
+         {gini('zero_a', 'one_a')}
+           - (zero_l + one_l) / (zero_a + one_a) * {gini('zero_l', 'one_l')}
+           - (zero_a - zero_l + one_a - one_l) / (zero_a + one_a) * {gini('(zero_a - zero_l)', '(one_a - one_l)')} AS gain
+  FROM sides WHERE following IS NOT NULL
+),
+best AS (
+  SELECT * FROM gains
+  ORDER BY round(gain, 12) DESC, coalesce(list_position([{_names(NUMERIC)}], feature), 99),
+           feature NOT LIKE 'plan_tier%', feature DESC, threshold LIMIT 1
+)"""
+
+
+_DOUBLES = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in ("gain", "left_0", "left_1", "right_0", "right_1"))
+_BEST = f"SELECT feature, threshold, CAST(left_rows AS BIGINT) AS left_rows, CAST(right_rows AS BIGINT) AS right_rows, {_DOUBLES} FROM best"
+PLAIN_SPLIT = f"WITH {_split_search('1.0::DOUBLE')} {_BEST}"
+BALANCED_SPLIT = "WITH " + _split_search(
+    "(SELECT count(*) FROM split_features WHERE split = 'train')::DOUBLE"
+    " / (2 * (SELECT count(*) FROM split_features g WHERE g.split = 'train' AND g.upgraded = f.upgraded))"
+) + " " + _BEST
+
 RULE_PREDICTIONS = f"""{FEATURES},
 predictions AS (
   SELECT user_id, upgraded AS label, CASE WHEN login_count > logout_count THEN 1 ELSE 0 END AS prediction
@@ -352,6 +448,27 @@ final AS (SELECT DISTINCT ON (user_id) user_id, event_type FROM raw_events
 SELECT count(*) AS users_whose_last_action_was_logout FROM final WHERE event_type = 'logout'""",
 }
 
+_REPORT = """counts AS (
+  SELECT v AS class, count(*) FILTER (WHERE label = v) AS support,
+         CAST(count(*) FILTER (WHERE label = v AND prediction = v) AS DOUBLE) AS hits,
+         count(*) FILTER (WHERE prediction = v) AS guessed
+  FROM predictions, (VALUES (0), (1)) k(v)
+  GROUP BY v HAVING count(*) FILTER (WHERE label = v OR prediction = v) > 0
+),
+scores AS (
+  SELECT class, support, hits, coalesce(hits / nullif(guessed, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r,
+         coalesce(2 * hits / nullif(guessed + support, 0), 0) AS f
+  FROM counts
+)
+SELECT CAST(class AS VARCHAR) AS class, p AS precision, r AS recall, f AS f1, support FROM scores
+UNION ALL
+SELECT 'accuracy', a, a, a, n FROM (SELECT sum(hits) / sum(support) AS a, CAST(sum(support) AS BIGINT) AS n FROM scores)
+UNION ALL
+SELECT 'macro avg', avg(p), avg(r), avg(f), CAST(sum(support) AS BIGINT) FROM scores
+UNION ALL
+SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
+       sum(f * support) / sum(support), CAST(sum(support) AS BIGINT) FROM scores"""
+
 _KPI_OVERVIEW = f"""WITH {METRICS}
 SELECT CAST(sum(metric_value) AS BIGINT) AS total_events,
        CAST(arg_max(metric_value, window_start) AS BIGINT) AS latest_window_events,
@@ -482,25 +599,22 @@ c AS (SELECT CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) AS good,
 SELECT coalesce(good / nullif(n, 0), 0) AS accuracy, coalesce(hits / nullif(guessed, 0), 0) AS precision,
        coalesce(hits / nullif(positives, 0), 0) AS recall,
        coalesce(2 * hits / nullif(guessed + positives, 0), 0) AS f1 FROM c""",
-    "classification_report": f"""WITH {RULE_PREDICTIONS},
-counts AS (
-  SELECT v AS class, count(*) FILTER (WHERE label = v) AS support,
-         CAST(count(*) FILTER (WHERE label = v AND prediction = v) AS DOUBLE) AS hits,
-         count(*) FILTER (WHERE prediction = v) AS guessed
-  FROM predictions, (VALUES (0), (1)) k(v)
-  GROUP BY v HAVING count(*) FILTER (WHERE label = v OR prediction = v) > 0
-),
-scores AS (
-  SELECT class, support, hits, coalesce(hits / nullif(guessed, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r,
-         coalesce(2 * hits / nullif(guessed + support, 0), 0) AS f
-  FROM counts
-)
-SELECT CAST(class AS VARCHAR) AS class, p AS precision, r AS recall, f AS f1, support FROM scores
-UNION ALL
-SELECT 'accuracy', a, a, a, n FROM (SELECT sum(hits) / sum(support) AS a, CAST(sum(support) AS BIGINT) AS n FROM scores)
-UNION ALL
-SELECT 'macro avg', avg(p), avg(r), avg(f), CAST(sum(support) AS BIGINT) FROM scores
-UNION ALL
-SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
-       sum(f * support) / sum(support), CAST(sum(support) AS BIGINT) FROM scores""",
+    "classification_report": f"WITH {RULE_PREDICTIONS}, {_REPORT}",
+    "logistic_report": f"""WITH RECURSIVE {LOGISTIC},
+predictions AS (
+  SELECT y AS label, CASE WHEN list_dot_product(w, v) > 0 THEN 1 ELSE 0 END AS prediction
+  FROM labelled, optimum WHERE split = 'test'
+), {_REPORT}""",
+    "logistic_coefficients": f"""WITH RECURSIVE {LOGISTIC}
+SELECT feature, round(w[j], 4) + 0.0::DOUBLE AS coefficient FROM names, optimum""",
+    "logistic_optimality": f"""WITH {VECTORS}
+SELECT feature, round(sum(y * v[j]), 4) + 0.0::DOUBLE AS moment FROM train, names GROUP BY feature""",
+    "gini_split": PLAIN_SPLIT,
+    "gini_split_balanced": BALANCED_SPLIT,
+    "forest_stump": PLAIN_SPLIT,
+    "forest_stump_balanced": BALANCED_SPLIT,
+    "stump_importances": f"""WITH {_split_search('1.0::DOUBLE')}
+SELECT m.feature, coalesce(round(b.gain * (left_rows + right_rows), 6), 0) + 0.0::DOUBLE AS decrease,
+       CASE WHEN b.feature IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS importance
+FROM (SELECT DISTINCT feature FROM encoded) m LEFT JOIN best b ON b.feature = m.feature""",
 }
