@@ -137,27 +137,6 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
 
 
-def test_machine_learns_a_pair_that_is_harmless_apart():
-    draw = np.random.default_rng(1)
-    rows = []
-    for _ in range(4000):
-        a, b = draw.integers(0, 2, 2)
-        rows.append((int(a and b), [*([1] if a else []), *([2] if b else []), int(draw.integers(3, 20))]))
-    machine = toxicity.fit(rows, np.arange(1, 20))
-    score = lambda *x: machine.score(np.array(x, np.int64))
-    assert score(1, 2) > 0.8 and max(score(1), score(2), score()) < 0.3
-
-
-def test_score_is_the_sum_over_pairs():
-    draw = np.random.default_rng(2)
-    place = np.full(toxicity.BUCKETS, -1, np.int64)
-    place[:5] = np.arange(5)
-    machine = toxicity.Machine(0.1, place, draw.normal(size=5), draw.normal(size=(5, 3)))
-    raw = 0.1 + machine.weights.sum() + sum(
-        machine.factors[i] @ machine.factors[j] for i in range(5) for j in range(i + 1, 5))
-    assert machine.score(np.array([0, 1, 2, 3, 4, 9])) == pytest.approx(1 / (1 + math.exp(-raw)))
-
-
 def test_toxicity_of_odd_rows(spark, odd, none, labels):  # noqa: F811
     rows = toxicity.toxicity_scores(odd, labels).collect()
     assert len(rows) == odd.count() and len({r["score"] for r in rows if r["doc_id"] in (3, 4)}) == 1

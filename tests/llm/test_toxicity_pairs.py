@@ -1,26 +1,168 @@
-"""Pairs of terms that tell nothing alone, learned through training on tables."""
+"""The factorization machine: terms, statistics, steps and sums against plain code, and pairs learned through training."""
 
+import collections
+import math
 import random
+import re
+
+import numpy as np
+import pytest
+from xxhash import xxh64_intdigest
 
 from usageloom.llm import toxicity
 
+SF = "/root/testdata/sf0.1"
+
+
+def plain_terms(text):
+    words = set(re.findall(r"[^\W\d_]+", (text or "").lower()))
+    terms = words | {"^" + w[:k] for w in words for k in (4, 5, 6, 7, 8) if k < len(w)}
+    return {xxh64_intdigest(t) % toxicity.BUCKETS for t in terms}
+
+
+def test_training_rows_and_statistics_equal_plain_counts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 600")
+    marks = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = toxicity.training_rows(docs, marks)
+    found = {r["doc_id"]: (r["toxic"], set(np.frombuffer(r["buckets"], np.int32).tolist())) for r in rows.collect()}
+    known = {r["doc_id"]: r["toxic"] for r in marks.collect() if r["toxic"] is not None and toxicity.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    want = {r["doc_id"]: (known[r["doc_id"]], plain_terms(r["text"])) for r in docs.collect() if r["doc_id"] in known}
+    assert found == want and len(want) > 100
+    n, k = toxicity.term_statistics(rows)
+    counts = collections.Counter(b for _, terms in want.values() for b in terms)
+    hits = collections.Counter(b for y, terms in want.values() for b in terms if y)
+    assert {int(b): int(n[b]) for b in np.flatnonzero(n)} == counts and all(k[b] == hits[b] for b in counts)
+    rows_n, toxic = len(want), sum(y for y, _ in want.values())
+    chi = toxicity.chi_squared(n, k, rows_n, toxic)
+    for b in list(counts)[:200]:
+        table = [hits[b], counts[b] - hits[b], toxic - hits[b], rows_n - toxic - counts[b] + hits[b]]
+        margins = [counts[b] * toxic, counts[b] * (rows_n - toxic), (rows_n - counts[b]) * toxic, (rows_n - counts[b]) * (rows_n - toxic)]
+        plain = sum((seen - m / rows_n) ** 2 / (m / rows_n) for seen, m in zip(table, margins, strict=True)) if all(margins) else 0
+        assert chi[b] == pytest.approx(plain, abs=1e-6)
+
+
+def random_sample(seed, rows=60, terms=12):
+    draw = np.random.default_rng(seed)
+    made = [(int(draw.integers(0, 2)), np.unique(draw.integers(0, terms, draw.integers(0, 9)))) for _ in range(rows)]
+    return toxicity.sample_of(made, np.arange(terms)), made
+
+
+def test_score_is_the_sum_over_pairs():
+    draw = np.random.default_rng(2)
+    machine = toxicity.constant(0.5)
+    machine = toxicity.Machine(0.1, machine.known.copy(), machine.weights.copy(), machine.slopes.copy(),
+                               np.zeros((toxicity.BUCKETS, 3), np.float32), np.array([1.0, -1.0, 1.0]))
+    machine.known[:5] = True
+    machine.weights[:5], machine.slopes[:5] = draw.normal(size=(2, 5))
+    machine.factors[:5] = draw.normal(size=(5, 3))
+    v = machine.factors.astype(float)
+    pairs = sum(float(v[i] @ (machine.signs * v[j])) for i in range(5) for j in range(i + 1, 5))
+    raw = 0.1 + machine.weights[:5].sum() + machine.slopes[:5].sum() / 5 ** 0.5 + pairs / 5
+    assert machine.score(np.array([0, 1, 2, 3, 4, 9])) == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-6)
+    assert machine.score(np.array([], np.int64)) == machine.score(np.array([9])) == pytest.approx(1 / (1 + math.exp(-0.1)))
+
+
+def test_one_step_is_the_gradients(monkeypatch):
+    monkeypatch.setattr(toxicity, "BATCH", 100)  # one step an epoch
+    sample, made = random_sample(3)
+    trust, documents = np.linspace(0.1, 1, 12).astype(np.float32), np.arange(1, 13)
+    (bias, before), (after_bias, after), *_ = toxicity.linear_epochs(sample, np.arange(60), trust, documents)
+    share = np.mean([y for y, _ in made])
+    assert bias == pytest.approx(math.log(share / (1 - share))) and not before.any()
+    slope = np.zeros(12)
+    for y, terms in made:
+        slope[terms] += (share - y) / 60
+    slope *= trust
+    want = -toxicity.RATE * slope / np.sqrt(1e-4 + slope ** 2) * trust
+    assert after == pytest.approx(want, abs=1e-5) and after_bias == pytest.approx(bias, abs=1e-6)
+
 
-def test_pair_of_neutral_terms_is_learned_through_train(spark):
+def test_directions_are_eigenvectors_of_the_left_over_error(monkeypatch):
+    monkeypatch.setattr(toxicity, "ROUNDS", 200)
+    monkeypatch.setattr(toxicity, "SPARSE", ())
+    sample, made = random_sample(4)
+    error = np.random.default_rng(5).normal(size=60)
+    x = np.zeros((60, 12))
+    for i, (_, terms) in enumerate(made):
+        x[i, terms] = 1 / max(terms.size, 1) ** 0.5
+    centred = x - x.mean(axis=0)
+    matrix = (centred * error[:, None]).T @ centred - np.diag(((x ** 2) * error[:, None]).sum(axis=0))
+    u = toxicity.pair_directions(sample, np.arange(60), error, 12).astype(float)
+    values, vectors = np.linalg.eigh(matrix)
+    leading = vectors[:, np.argsort(-np.abs(values))[:2]]
+    assert np.abs(leading.T @ u[:, :2]).max(axis=1) == pytest.approx([1, 1], abs=1e-2)
+    features = toxicity.pair_features(sample, u.astype(np.float32))
+    for i, (_, terms) in enumerate(made):
+        n = max(terms.size, 1)
+        pairs = [2 * sum(u[a, f] * u[b, f] for a in terms for b in terms if a < b) / n for f in range(u.shape[1])]
+        assert features[i] == pytest.approx([*pairs, *(u[terms].sum(axis=0) / n ** 0.5)], abs=1e-5)
+
+
+def test_strengths_end_where_the_gradient_does():
+    draw = np.random.default_rng(6)
+    x, offset = draw.normal(size=(200, 3)) * [1, 5, 0.1], draw.normal(size=200)
+    y = (draw.random(200) < 0.4).astype(float)
+    c = toxicity.strengths(x, offset, y, ridge=2.0)
+    p = toxicity.sigmoid(toxicity.with_pairs(offset, x, c))
+    slope = x.T @ (p - y) / x.std(axis=0) + 2.0 * c[:-1] * x.std(axis=0)
+    assert np.abs(slope).max() < 1e-3 and abs((p - y).sum()) < 1e-3
+
+
+def word(i):
+    return "w" + "".join(chr(97 + int(d)) for d in f"{i:05d}")
+
+
+@pytest.mark.parametrize(("length", "rows"), [(6, 2000), (700, 5500)])
+def test_pair_of_neutral_terms_is_learned_through_train(spark, length, rows):
     """A text is toxic if it has both or neither of two words, so each word has the share of all texts."""
-    draw = random.Random(3)
+    draw = np.random.default_rng(3)
+    kinds = 200 if length < 100 else 20_000
+    chance = np.minimum(1, length / kinds if length < 100 else 116 / np.arange(1, kinds + 1))
+    words = np.array([word(i) for i in range(kinds)])
     docs, marks = [], []
-    for i in range(2000):
+    for i in range(rows):
         a, b = draw.random() < 0.5, draw.random() < 0.5
-        words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in draw.sample(range(200), 6)]
-        docs.append((i, " ".join(words + ["alpha"] * a + ["bravo"] * b)))
+        mine = words[draw.random(kinds) < chance].tolist()
+        docs.append((i, " ".join([*mine, *(["zulu"] if a else []), *(["yank"] if b else [])])))
         marks.append((i, int(a == b)))
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sizes = [len(t.split()) for _, t in docs]
+    assert length < 100 or 650 < sum(sizes) / len(sizes) < 750
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
-    rows = [(r["toxic"], r["buckets"]) for r in toxicity.training_rows(frame, labels).collect()]
-    toxic = sum(y for y, _ in rows)
-    for word in ("alpha", "bravo"):
-        has = [y for y, buckets in rows if toxicity.bucket_of(word) in buckets]
-        stats = [(toxicity.bucket_of(word), len(has), sum(has))]
-        assert toxicity.telling_buckets(stats, len(rows), toxic).size == 0, "neutral alone"
     found = toxicity.toxicity_scores(frame, labels).filter("held_out").join(labels, "doc_id").collect()
-    assert len(found) > 300 and sum(r["predicted"] == r["toxic"] for r in found) > 0.95 * len(found)
+    right = sum(int(r["score"] >= 0.5) == r["toxic"] for r in found)
+    assert len(found) > rows / 5 and right > 0.9 * len(found)
+
+
+def test_all_frequent_terms_are_known_and_held_out_rows_are_judged_rightly(spark):
+    docs, marks = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    machine = toxicity.train(docs, marks)
+    rows = toxicity.training_rows(docs, marks).select("buckets").collect()
+    counts = np.zeros(toxicity.BUCKETS, np.int64)
+    for r in rows:
+        counts[np.frombuffer(r["buckets"], np.int32)] += 1
+    assert (machine.known == (counts >= toxicity.FLOOR)).all() and machine.known.sum() > 50_000
+    weighted = np.count_nonzero(machine.weights[machine.known])
+    assert weighted > 0.95 * machine.known.sum(), "terms without a weight are those that tell exactly nothing"
+    held = toxicity.toxicity_scores(docs, marks, machine).join(marks, "doc_id").filter("held_out AND toxic IS NOT NULL").collect()
+    hits = sum(r["predicted"] and r["toxic"] for r in held)
+    assert hits / sum(r["toxic"] for r in held) > 0.9 and hits / sum(r["predicted"] for r in held) > 0.9
+
+
+def test_without_both_labels_every_score_is_the_share():
+    for labels, share in (([1, 1, 1], 1.0), ([0, 0], 0.0), ([], 0.0)):
+        sample = toxicity.sample_of([(y, np.array([1, 2])) for y in labels], np.arange(4))
+        machine = toxicity.fit(sample, np.arange(4), np.zeros(4), np.ones(4))
+        assert machine.score(np.array([1, 2])) == pytest.approx(share, abs=1e-9)
+
+
+def test_the_sample_does_not_depend_on_the_order_of_the_rows(spark):
+    draw = random.Random(4)
+    rows = [(draw.randrange(40), i % 2, np.arange(draw.randrange(1, 9), dtype=np.int32).tobytes()) for i in range(90)]
+    samples = []
+    for parts in (1, 5):
+        draw.shuffle(rows)
+        frame = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "doc_id long, toxic int, buckets binary").repartition(parts)
+        samples.append(toxicity.gathered(frame, np.arange(5), 50))
+    one, two = samples
+    assert (one.terms == two.terms).all() and (one.offsets == two.offsets).all() and one.labels.size == 50
