@@ -145,7 +145,7 @@ def test_one_user_with_a_third_of_all_rows(spark):
 @pytest.mark.parametrize("column,mix", [("event_type", quality.EVENT_TYPE_MIX)])
 def test_distribution_lists_missing_and_unexpected(events, column, mix):
     log = events(LOG + [(7, "d", "2024-02-01 00:00:00", "refund", "free", None, "US")])
-    got = {r["category"]: r for r in quality.category_distribution(log, column, mix).collect()}
+    got = {r["category"]: r for r in quality.category_distribution(log, {column: mix}).collect()}
     assert got["upgrade"]["n"] == 0 and got["upgrade"]["expected_pct"] == 5.0
     assert got["refund"]["n"] == 1 and got["refund"]["expected_pct"] == 0.0
     assert sum(r["n"] for r in got.values()) == 7

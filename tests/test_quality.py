@@ -56,11 +56,19 @@ def test_contract(spark):
         (altered(timestamp="yesterday"), ["timestamp_not_iso"]),
         (altered(timestamp="2024-01-01T10:00:00"), ["timestamp_not_iso"]),
         (altered(timestamp="2024-13-01T10:00:00+00:00"), ["timestamp_not_iso"]),
-        (altered(timestamp=1704103200), ["timestamp_not_iso"]),
+        (altered(timestamp=1704103200), ["timestamp_not_text", "timestamp_not_iso"]),
+        (altered(user_id=123), ["user_id_not_text"]),
+        (altered(user_id=12.5), ["user_id_not_text"]),
+        (altered(user_id=True), ["user_id_not_text"]),
+        (altered(user_id={"a": 1}), ["user_id_not_text"]),
+        (altered(user_id=[1, "a"]), ["user_id_not_text"]),
+        (altered(user_id=None), ["user_id_missing"]),
+        (altered(user_id='{"a": 1}'), []),
+        (altered(country={"code": "US"}), ["country_not_text", "country_unknown", "country_too_long"]),
         (altered(event_type="refund", feature_name=None), ["event_type_unknown"]),
         (altered(event_type=None, feature_name=None), ["event_type_unknown"]),
         (altered(plan_tier="gold"), ["plan_tier_unknown"]),
-        (altered(plan_tier=5), ["plan_tier_unknown"]),
+        (altered(plan_tier=5), ["plan_tier_not_text", "plan_tier_unknown"]),
         (altered(country=None), ["country_unknown"]),
         (altered(session_id=GOOD["session_id"].upper()), ["session_id_not_uuid"]),
         (altered(user_id=""), ["user_id_missing"]),
@@ -165,3 +173,17 @@ def test_constraints_count_violations(spark):
     assert got["not_null(metric_value)"] == 1 and got["not_null(window_end)"] == 1
     assert got["not_null(created_at)"] == 1 and got["not_null(window_start)"] == 0
     assert got["max_length(metric_name)"] == 1
+
+
+def test_constraints_read_the_frame_once(spark, events):
+    log = events([(1, "a", "2024-01-01 00:00:00", "login", "free", None, "US")])
+    plan = quality.check_constraints(log, schemas.RAW_EVENTS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1, plan
+
+
+def test_every_table_of_the_constraint_query_is_one_scan(spark):
+    from usageloom.plans.registry import QUERIES
+
+    plan = QUERIES["check_constraints"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == len(schemas.TABLES)
+    assert plan.count("from_json") + plan.count("jsontostructs") <= 1

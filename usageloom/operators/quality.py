@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from usageloom import schemas
@@ -46,20 +47,21 @@ def storage_violations(
 def validate_messages(messages: DataFrame) -> DataFrame:
     """Every message with the contract rules it breaks, ``reasons`` empty for a good one.
 
-    All fields are read as text so that the form of the time, offset included,
-    can be judged. Other columns of ``messages`` are carried along.
+    A field must be JSON text or null; a number or an object in its place is a broken
+    rule of its own and is judged further by its text. The form of the time, offset
+    included, is judged as sent. Other columns of ``messages`` are carried along.
     """
     text = F.col("value").cast("string")
     carried = [c for c in messages.columns if c not in ("key", "value")]
-    # one parse gives the values and tells which keys were there
+    # one parse gives the values, their JSON kinds, and tells which keys were there
     parsed = messages.select(
-        *carried, text.alias("raw_value"), F.from_json(text, "map<string, string>").alias("m")
+        *carried, text.alias("raw_value"), F.from_json(text, "map<string, variant>").alias("m")
     ).select(
         *carried,
         "raw_value",
         F.map_keys("m").alias("_keys"),
-        *[F.col("m").getItem(name).alias(f"_{name}") for name in schemas.MESSAGE_FIELDS],
-    )
+        *[F.col("m").getItem(name).alias(f"_{name}_sent") for name in schemas.MESSAGE_FIELDS],
+    ).withColumns({f"_{name}": F.col(f"_{name}_sent").cast("string") for name in schemas.MESSAGE_FIELDS})
 
     def field(name: str) -> Column:
         return F.col(f"_{name}")
@@ -69,8 +71,12 @@ def validate_messages(messages: DataFrame) -> DataFrame:
 
     expected = F.array(*[F.lit(name) for name in schemas.MESSAGE_FIELDS])
     is_feature_use = F.coalesce(field("event_type") == F.lit(schemas.FEATURE_EVENT), F.lit(False))
+    def not_text(name: str) -> Column:
+        return ~F.schema_of_variant(F.col(f"_{name}_sent")).isin("STRING", "VOID")
+
     broken = {
         "keys_missing": F.size(F.array_except(expected, F.col("_keys"))) > 0,
+        **{f"{name}_not_text": not_text(name) for name in schemas.MESSAGE_FIELDS},
         "user_id_missing": F.coalesce(F.length(field("user_id")), F.lit(0)) == 0,
         "session_id_not_uuid": ~F.coalesce(field("session_id").rlike(UUID_PATTERN), F.lit(False)),
         "timestamp_not_iso": ~F.coalesce(
@@ -101,8 +107,10 @@ def validate_messages(messages: DataFrame) -> DataFrame:
 def check_constraints(frame: DataFrame, table: schemas.Table) -> DataFrame:
     """Violations per table rule: rows for NOT NULL and lengths, repeated keys for UNIQUE.
 
-    Row rules are counted in one pass. Keys are counted with map-side
-    combining, so a key repeated a billion times is still one row per task.
+    The frame is read once: rows are grouped by key with a counter per row rule, then the
+    counters are added up and repeated keys counted. Both steps combine before they
+    shuffle, so a key repeated a billion times is still one row per task. A key with a
+    missing part is never a repeated one.
     """
     rules = {
         **{f"not_null({c})": F.col(c).isNull() for c in table.required if c in frame.columns},
@@ -112,50 +120,53 @@ def check_constraints(frame: DataFrame, table: schemas.Table) -> DataFrame:
             if c in frame.columns
         },
     }
-    counted = frame.agg(
-        F.array(
-            *[
-                F.struct(F.lit(rule).alias("rule"), F.count_if(broken).alias("violations"))
-                for rule, broken in rules.items()
-            ]
-        ).alias("found")
-    ).select(F.explode("found").alias("f"))
-    by_row = counted.select("f.rule", "f.violations")
-    by_key = (
-        frame.dropna(subset=list(table.key))
-        .groupBy(*table.key)
-        .agg(F.count("*").alias("copies"))
-        .filter("copies > 1")
-        .agg(F.count("*").alias("violations"))
-        .select(F.lit(f"unique({','.join(table.key)})").alias("rule"), "violations")
+    counters = {rule: f"_rule_{i}" for i, rule in enumerate(rules)}
+    per_key = frame.groupBy(*table.key).agg(
+        F.count("*").alias("_copies"), *[F.count_if(rules[r]).alias(c) for r, c in counters.items()]
+    )
+    whole_key = F.lit(True)
+    for c in table.key:
+        whole_key = whole_key & F.col(c).isNotNull()
+    found = [
+        F.struct(F.lit(rule).alias("rule"), F.coalesce(F.sum(c), F.lit(0)).alias("violations"))
+        for rule, c in counters.items()
+    ]
+    repeated = F.struct(
+        F.lit(f"unique({','.join(table.key)})").alias("rule"),
+        F.count_if((F.col("_copies") > 1) & whole_key).alias("violations"),
+    )
+    return (
+        per_key.agg(F.array(*found, repeated).alias("found"))
+        .select(F.explode("found").alias("f"))
+        .select(F.lit(table.name).alias("table_name"), "f.rule", "f.violations")
     )
-    return by_row.unionByName(by_key).select(F.lit(table.name).alias("table_name"), "rule", "violations")
 
 
-def category_distribution(
-    events: DataFrame, column: str, weights: Mapping[str, float]
-) -> DataFrame:
-    """Count, share and expected share per category; expected categories nobody used have count 0."""
+def category_distribution(events: DataFrame, mixes: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """Per column count, share and expected share of each category; expected ones nobody used have count 0.
+
+    ``mixes``: column to the expected weight of its categories. The events are read once and
+    reduced to the combinations of categories that occur.
+    """
     spark = events.sparkSession
+    columns = list(mixes)
+    counts = events.groupBy(*columns).agg(F.count("*").alias("n"))
+    sides = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("category")) for c in columns])
+    used = counts.select(F.explode(sides).alias("s"), "n").select(
+        "s.column_name", "s.category", "n", F.lit(0).cast("bigint").alias("weight"))
     # one row per declared category
     expected = spark.createDataFrame(
-        [(name, int(weight)) for name, weight in weights.items()], "category string, weight bigint"
-    )
-    counts = events.groupBy(F.col(column).alias("category")).agg(F.count("*").alias("n"))
-    total = counts.select(F.sum("n")).scalar()
-    whole = F.lit(int(sum(weights.values()))).cast("bigint")
-    joined = counts.join(expected, "category", "full_outer").select(
-        F.lit(column).alias("column_name"),
-        "category",
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight"),
+        [(c, name, 0, int(weight)) for c, mix in mixes.items() for name, weight in mix.items()],
+        "column_name string, category string, n bigint, weight bigint",
     )
-    return joined.select(
+    both = used.unionByName(expected).groupBy("column_name", "category").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"))
+    totals = W.partitionBy("column_name")  # over one row per category
+    return both.select(
         "column_name",
         "category",
         "n",
-        numeric.percent(F.col("n"), total).alias("share_pct"),
-        numeric.percent(F.col("weight"), whole).alias("expected_pct"),
+        numeric.percent(F.col("n"), F.sum("n").over(totals)).alias("share_pct"),
+        numeric.percent(F.col("weight"), F.sum("weight").over(totals)).alias("expected_pct"),
     ).withColumn("diff_pct", F.col("share_pct") - F.col("expected_pct"))
 
 

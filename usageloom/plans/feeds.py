@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_faults(events: DataFrame) -> DataFrame:
-    """One message per event, most of them damaged in one of twelve ways, some delivered twice.
+    """One message per event, most of them damaged in one of fourteen ways, some delivered twice.
 
     ``partition`` and ``offset`` stand where a topic would put them; a
     redelivery repeats the offset.
@@ -56,8 +56,13 @@ def with_faults(events: DataFrame) -> DataFrame:
     short = F.to_json(
         F.struct(*[c.alias(n) for n, c in fields.items() if n != "country"]), keep_nulls
     )
+    def with_value(field: str, value: Column) -> Column:
+        return F.to_json(F.struct(*[(value if n == field else c).alias(n) for n, c in fields.items()]), keep_nulls)
+
     value = (
-        F.when(kind == 0, F.concat(F.lit("not json "), F.col("user_id")))
+        F.when(kind == 13, with_value("user_id", F.col("user_id").cast("bigint")))
+        .when(kind == 14, with_value("country", F.struct(F.col("country").alias("code"))))
+        .when(kind == 0, F.concat(F.lit("not json "), F.col("user_id")))
         .when(kind == 1, F.lit(None).cast("string"))
         .when(kind == 8, short)
         .otherwise(whole)

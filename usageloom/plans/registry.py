@@ -104,10 +104,9 @@ def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = raw_events(spark, sf_dir)
     return quality.category_distribution(
-        events, "event_type", quality.EVENT_TYPE_MIX
-    ).unionByName(quality.category_distribution(events, "plan_tier", quality.PLAN_TIER_MIX))
+        raw_events(spark, sf_dir), {"event_type": quality.EVENT_TYPE_MIX, "plan_tier": quality.PLAN_TIER_MIX}
+    )
 
 
 def audit_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,7 +241,8 @@ damaged AS (
          CASE kind WHEN 3 THEN 'refund' ELSE event_type END AS event_type,
          CASE kind WHEN 4 THEN 'gold' ELSE plan_tier END AS plan_tier,
          CASE kind WHEN 5 THEN 'dashboard_view' WHEN 6 THEN NULL ELSE feature_name END AS feature_name,
-         CASE kind WHEN 8 THEN NULL WHEN 10 THEN 'far-away-country' ELSE country END AS country,
+         CASE kind WHEN 8 THEN NULL WHEN 10 THEN 'far-away-country'
+                   WHEN 14 THEN '{{"code":"' || country || '"}}' ELSE country END AS country,
          unnest(CASE kind WHEN 12 THEN [1, 2] ELSE [1] END) AS delivery
   FROM (SELECT *, id % 16 AS kind, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS stamp FROM raw_events)
 ),
@@ -293,6 +294,8 @@ def _joined(rules: list[tuple[str, str]]) -> str:
 CONTRACT = _joined(
     [
         ("keys_missing", "kind = 8"),
+        ("user_id_not_text", "kind = 13"),
+        ("country_not_text", "kind = 14"),
         ("user_id_missing", "coalesce(length(user_id), 0) = 0"),
         (
             "session_id_not_uuid",
