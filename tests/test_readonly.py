@@ -90,3 +90,65 @@ def test_higher_order_functions_are_reading(spark):
 def test_outside_code_is_not_run(spark, sql):
     with pytest.raises(readonly.NotReadOnly, match="calls_outside_code"):
         readonly.run_readonly(spark, sql)
+
+
+@pytest.fixture
+def views(spark, events, tmp_path):
+    events([(1, "a", "2024-01-01 00:00:00", "login", "free", None, "US")]).createOrReplaceTempView("raw_events")
+    secret = tmp_path / "secret.txt"
+    secret.write_text("not for you\n")
+    spark.read.text(str(secret)).createOrReplaceTempView("over_a_path")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW nested AS SELECT * FROM over_a_path")
+    yield str(secret)
+    for name in ("raw_events", "over_a_path", "nested"):
+        spark.catalog.dropTempView(name)
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT * FROM text.`{path}`",
+        "SELECT (SELECT max(value) FROM text.`{path}`) AS v FROM raw_events",
+        "SELECT * FROM raw_events WHERE user_id IN (SELECT value FROM text.`{path}`)",
+        "WITH t AS (SELECT * FROM text.`{path}`) SELECT * FROM t, raw_events",
+        "SELECT * FROM raw_events WHERE EXISTS (SELECT 1 FROM (SELECT value FROM text.`{path}`) x WHERE value = user_id)",
+        "SELECT user_id FROM raw_events UNION ALL SELECT value FROM text.`{path}`",
+        "SELECT * FROM range(10)",
+        "SELECT * FROM raw_events, range(3)",
+        "SELECT * FROM over_a_path",
+        "SELECT * FROM nested",
+    ],
+)
+def test_only_named_views_are_read(spark, views, sql):
+    with pytest.raises(readonly.NotReadOnly, match="outside_views"):
+        readonly.run_readonly(spark, sql.format(path=views), views=["raw_events"])
+
+
+def test_a_registered_view_may_lie_over_a_path(spark, views):
+    for name in ("over_a_path", "nested"):
+        assert readonly.run_readonly(spark, f"SELECT * FROM {name}").first()["value"] == "not for you"
+        assert readonly.run_readonly(spark, f"SELECT * FROM {name}", views=[name.upper()]).count() == 1
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT count(*) AS n FROM RAW_EVENTS",
+        "WITH u AS (SELECT user_id FROM raw_events) SELECT count(*) AS n FROM u a JOIN u b ON a.user_id = b.user_id",
+        "SELECT 1 AS n",
+        "SELECT * FROM VALUES (1) AS v(n)",
+        "SELECT (SELECT count(*) FROM raw_events) AS n",
+        "SELECT count(*) AS n FROM raw_events LATERAL VIEW explode(array(1)) e AS x",
+    ],
+)
+def test_texts_over_views_and_literals_run(spark, views, sql):
+    assert readonly.run_readonly(spark, sql, views=["raw_events"]).first()["n"] == 1
+
+
+def test_a_table_of_the_catalog_is_outside(spark, tmp_path):
+    spark.sql(f"CREATE TABLE gate_table (v INT) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        with pytest.raises(readonly.NotReadOnly, match="outside_views"):
+            readonly.run_readonly(spark, "SELECT * FROM gate_table")
+    finally:
+        spark.sql("DROP TABLE gate_table")

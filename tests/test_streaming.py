@@ -341,3 +341,38 @@ def test_window_users_are_combined_before_the_shuffle(spark):
     events = feeds.to_raw_events(spark.read.parquet(f"{SMALL}/events.parquet"))
     plan = jobs.window_users(decode_events(feeds.encode_events(events)))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.rindex("partial_count")
+
+
+def test_database_sink_refuses_events_without_a_unique_id(spark):
+    from usageloom.streaming import jdbc
+
+    ran = []
+    sink = jdbc.JdbcRawEventSink("jdbc:x", {}, execute=lambda *a: ran.append(a))
+    texts = spark.createDataFrame([(message(at("00:00:10")),)] * 2, "value string")
+    with pytest.raises(ValueError, match="unique id"):
+        sink(messages.decode_events(texts), 0)
+    assert ran == []
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/London", "+01:00", "EST"])
+def test_a_session_in_another_zone_is_refused(spark, events, zone):
+    log = events([(1, "a", "2024-01-01 00:00:00", "login", "free", None, "US")])
+    texts = spark.createDataFrame([(message(at("00:00:10")),)], "value string")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for send in (lambda: messages.encode_events(log), lambda: messages.decode_events(texts)):
+            with pytest.raises(ValueError, match="time zone"):
+                send()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Etc/UTC", "GMT", "Z", "+00:00", "Zulu"])
+def test_names_of_utc_are_one_zone(spark, zone):
+    from usageloom.functions.session import require_utc
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -23,3 +23,12 @@ def build_session(app_name: str = "usageloom", master: str | None = None, **sett
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Refuses a session whose zone would shift times between their stored and their sent form."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    time = spark._jvm.java.time
+    rules = time.ZoneId.of(zone, time.ZoneId.SHORT_IDS).getRules()
+    if not rules.isFixedOffset() or rules.getOffset(time.Instant.EPOCH).getTotalSeconds():
+        raise ValueError(f"the session's time zone is {zone}; set spark.sql.session.timeZone to UTC")

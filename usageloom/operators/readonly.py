@@ -3,12 +3,14 @@
 A text passes when, trimmed and freed of trailing semicolons, it starts with
 SELECT or WITH and holds none of the forbidden words, not even inside a string
 literal. It judges words, not meaning: ``SELECT ... INTO`` and several
-statements in one text pass here and are refused by Spark's parser.
+statements in one text pass here and are refused by Spark's parser. What a text
+reads is judged by ``run_readonly`` from its analysed plan.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,9 +87,44 @@ def require_readonly(spark: SparkSession, sql: str) -> str:
     return verdict["cleaned_sql"]
 
 
-def run_readonly(spark: SparkSession, sql: str) -> DataFrame:
-    """Run a gated text over the registered views."""
+def registered_views(spark: SparkSession) -> set[str]:
+    """The session's temporary views: what ``register_views`` has named."""
+    return {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+
+
+def _each(scala_seq):
+    return (scala_seq.apply(i) for i in range(scala_seq.size()))
+
+
+def _first_outside(plan, views: set[str]) -> str | None:
+    """The name of the first leaf of an analysed plan that is neither one of ``views`` nor made by the text itself.
+
+    A view's own plan is not looked into: whoever registered it vouches for it. Subqueries are plans of
+    their own that hang on expressions.
+    """
+    kind = plan.getClass().getSimpleName()
+    if kind == "View":
+        name = plan.desc().identifier().table().lower()
+        if name in views:
+            return None
+    children = [*_each(plan.children()), *_each(plan.subqueries())]
+    if not children and kind not in ("OneRowRelation", "LocalRelation", "CTERelationRef"):
+        return kind
+    return next((found for c in children if (found := _first_outside(c, views)) is not None), None)
+
+
+def run_readonly(spark: SparkSession, sql: str, views: Iterable[str] | None = None) -> DataFrame:
+    """Run a gated text over registered views, and over nothing else.
+
+    ``views`` names them; by default they are the session's temporary views. Files, tables of a
+    catalog, table functions and views that are not named are refused after analysis, before any row is read.
+    """
     text = require_readonly(spark, sql)
     if OUTSIDE_CALLS.search(text):
         raise NotReadOnly("calls_outside_code")
-    return spark.sql(text)
+    known = registered_views(spark) if views is None else {v.lower() for v in views}
+    result = spark.sql(text)
+    outside = _first_outside(result._jdf.queryExecution().analyzed(), known)
+    if outside is not None:
+        raise NotReadOnly(f"outside_views:{outside}")
+    return result

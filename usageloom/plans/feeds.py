@@ -129,3 +129,21 @@ def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SELECT '"), F.replace(F.col("text"), quote, F.lit("''")), F.lit("' AS t;")).alias("sql"),
     )
     return per_event.unionByName(per_document)
+
+
+def gated_texts(sf_dir: str) -> dict[str, str]:
+    """Texts a user might send, by name: some to run over the views, some to refuse for their words or what they read."""
+    return {
+        "users_per_tier": "SELECT plan_tier, count(DISTINCT user_id) AS users FROM raw_events GROUP BY plan_tier;",
+        "with_and_subquery": "WITH busy AS (SELECT user_id, count(*) AS n FROM raw_events GROUP BY user_id)"
+        " SELECT user_id FROM busy WHERE n > (SELECT avg(n) FROM busy) ;; ",
+        "join_of_views": "select m.user_id from user_metrics m join raw_events e on m.user_id = e.user_id"
+        " where e.event_type = 'upgrade' and m.plan_tier = 'pro'",
+        "literal_rows": "SELECT v FROM VALUES (1), (2), (3) AS t(v)",
+        "word_in_text": "SELECT count(*) AS n FROM raw_events WHERE event_type = 'update'",
+        "change": "DELETE FROM raw_events",
+        "files": f"SELECT * FROM parquet.`{sf_dir}/customer.parquet`",
+        "files_beneath": f"SELECT user_id FROM raw_events WHERE user_id IN (SELECT name FROM text.`{sf_dir}/nation.parquet` AS t(name))",
+        "table_function": "SELECT id FROM range(5)",
+        "outside_code": "SELECT reflect('java.lang.System', 'getProperty', 'user.dir') AS d FROM raw_events",
+    }

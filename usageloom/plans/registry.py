@@ -25,7 +25,7 @@ from usageloom.operators import (
 from usageloom.plans import feeds
 from usageloom.plans.suite import suite_row_counts
 from usageloom.sources.clickstream import raw_events
-from usageloom.sources.event_log import read_event_log, read_quarantine
+from usageloom.sources.event_log import read_event_log, read_quarantine, register_views
 from usageloom.sources.messages import as_raw_events, decode_events, encode_events, read_event_stream
 from usageloom.streaming import jobs, replay, sinks
 
@@ -113,6 +113,22 @@ def audit_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readonly.audit_queries(feeds.query_texts(spark, sf_dir))
 
 
+def gated_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text sent through the gate: the rows it gives over the two views, or why it is refused."""
+    views = {"raw_events": raw_events(spark, sf_dir), "user_metrics": rollups.user_metrics(raw_events(spark, sf_dir))}
+    register_views(spark, views)
+    answers = None
+    for name, text in feeds.gated_texts(sf_dir).items():
+        try:
+            result, reason = readonly.run_readonly(spark, text, views), F.lit(None).cast("string")
+        except readonly.NotReadOnly as refused:
+            result, reason = None, F.lit(str(refused).partition(":")[0] if str(refused).startswith("outside") else str(refused))
+        rows = spark.range(1).select(F.lit(None).cast("bigint").alias("n")) if result is None else result.agg(F.count("*").alias("n"))
+        answer = rows.select(F.lit(name).alias("query"), reason.alias("refused"), F.col("n").alias("result_rows"))
+        answers = answer if answers is None else answers.unionByName(answer)
+    return answers
+
+
 # --- streaming: one pass over the stream into a fresh folder -----------------
 
 
@@ -386,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "check_constraints": check_constraints,
     "category_distribution": category_distribution,
     "audit_queries": audit_queries,
+    "gated_queries": gated_queries,
     "events_per_minute_stream": events_per_minute_stream,
     "kpi_overview_stream": kpi_overview_stream,
     "upsert_metrics": upsert_metrics,

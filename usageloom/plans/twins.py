@@ -575,6 +575,21 @@ judged AS (
   FROM trimmed
 )
 SELECT query_id, cleaned_sql, reason, reason IS NULL AS is_readonly FROM judged""",
+    "gated_queries": f"""WITH {RAW_EVENTS}, {USER_METRICS},
+busy AS (SELECT user_id, count(*) AS n FROM raw_events GROUP BY user_id),
+ran(query, result_rows) AS (
+  SELECT 'users_per_tier', count(DISTINCT plan_tier) FROM raw_events
+  UNION ALL SELECT 'with_and_subquery', count(*) FROM busy WHERE n > (SELECT avg(n) FROM busy)
+  UNION ALL SELECT 'join_of_views', count(*) FROM raw_events e JOIN user_metrics m ON m.user_id = e.user_id
+            WHERE e.event_type = 'upgrade' AND m.plan_tier = 'pro'
+  UNION ALL SELECT 'literal_rows', 3
+)
+SELECT query, NULL::VARCHAR AS refused, result_rows FROM ran
+UNION ALL
+SELECT query, refused, NULL FROM (VALUES
+  ('word_in_text', 'forbidden:UPDATE'), ('change', 'not_select_or_with'), ('files', 'outside_views'),
+  ('files_beneath', 'outside_views'), ('table_function', 'outside_views'), ('outside_code', 'calls_outside_code')
+) t(query, refused)""",
     "user_features": f"WITH {FEATURES} SELECT * FROM user_features",
     "user_features_leak_free": f"WITH {LEAK_FREE} SELECT * FROM user_features",
     "label_balance": f"""WITH {FEATURES}

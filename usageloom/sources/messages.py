@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usageloom import schemas
+from usageloom.functions.session import require_utc
 
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx",
@@ -60,6 +61,7 @@ def read_event_stream(
 
 def encode_events(events: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """``raw_events`` rows as ``key`` and ``value`` bytes, behind the ``carried`` columns."""
+    require_utc(events.sparkSession)
     payload = F.struct(
         F.col("user_id").alias("user_id"),
         F.col("session_id").alias("session_id"),
@@ -88,6 +90,7 @@ def decode_events(messages: DataFrame, carried: tuple[str, ...] = ()) -> DataFra
 
     Unreadable text becomes NULL fields, a wrong field only that field.
     """
+    require_utc(messages.sparkSession)
     text = F.col("value").cast("string")
     carried = [*(c for c in POSITION if c in messages.columns), *carried]
     return messages.select(
@@ -97,14 +100,18 @@ def decode_events(messages: DataFrame, carried: tuple[str, ...] = ()) -> DataFra
     ).select(*carried, "raw_value", "data.*")
 
 
+def has_position(columns: list[str]) -> bool:
+    return all(c in columns for c in POSITION)
+
+
 def event_id(columns: list[str]) -> Column:
     """A key that stays the same when a batch is retried.
 
     The topic position is unique. Other sources have none, so there the key is
     a 64-bit hash of the fields; two events can then share one, and identical
-    redeliveries always do.
+    redeliveries always do. Sinks that keep one row per key refuse those sources.
     """
-    if all(c in columns for c in POSITION):
+    if has_position(columns):
         return F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset").cast("bigint")
     return F.xxhash64(*[F.col(c) for c in schemas.MESSAGE_FIELDS])
 

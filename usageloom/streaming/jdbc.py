@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from usageloom import schemas
 from usageloom.operators.quality import storage_violations
-from usageloom.sources.messages import as_raw_events
+from usageloom.sources.messages import as_raw_events, has_position
 
 
 def insert_missing_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:
@@ -90,11 +90,16 @@ class _Staged:
 
 @dataclass
 class JdbcRawEventSink(_Staged):
-    """Good events only; keep the file sink beside it for the refused ones."""
+    """Good events only; keep the file sink beside it for the refused ones.
+
+    The table has one row per id, so ids must be unique: messages need their topic position.
+    """
 
     table: str = schemas.RAW_EVENTS.name
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if not has_position(batch.columns):
+            raise ValueError("events without partition and offset have no unique id: two alike would become one")
         columns = schemas.RAW_EVENTS.schema.names
         rows = as_raw_events(batch)
         good = rows.filter(F.size(storage_violations(rows.columns)) == 0).select(*columns)
