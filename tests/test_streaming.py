@@ -164,9 +164,65 @@ def test_compaction_keeps_the_readers_view(spark, tmp_path):
     assert sinks.compact(spark, path, sinks.METRIC_ROW, keys) == 3
     latest = {r["window_start"].minute: r["metric_value"] for r in sinks.metrics_latest(spark, path).collect()}
     assert latest[0] == 44.0 and len(latest) == 4
-    # folded batches are not read any more
+    # folded batches are not opened any more
     rows = sinks.versions(spark, path, sinks.METRIC_ROW)
     assert rows.count() == 4 + 1
+    opened = rows.inputFiles()
+    assert opened and all("/batch_id=4/" in f or "/upto=3/" in f for f in opened)
+
+
+def test_folded_segments_are_not_looked_into(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "SEGMENT", 2)
+    path = str(tmp_path / "metrics")
+    sink = sinks.ChangelogSink(path)
+    for batch_id in range(6):
+        sink(metric_rows(spark, [batch_id], f"2024-01-01 00:0{batch_id}:00"), batch_id)
+    sinks.ChangelogSink(path, epoch=1)(metric_rows(spark, [9]), 0)
+    assert len(sinks.live_batches(spark, path)) == 7
+    assert sinks.compact(spark, path, sinks.METRIC_ROW, schemas.AGGREGATED_METRICS.key) == 5
+    seen, numbered = [], sinks._numbered
+
+    def listed(files, place, column):
+        seen.append(place.toString())
+        return numbered(files, place, column)
+
+    monkeypatch.setattr(sinks, "_numbered", listed)
+    assert list(sinks.live_batches(spark, path, 5)) == [1 << sinks.EPOCH_SHIFT]
+    assert not [f for f in seen if "epoch=0/segment=" in f]
+    latest = {r["window_start"].minute: r["metric_value"] for r in sinks.metrics_latest(spark, path).collect()}
+    assert latest == {0: 9.0, 1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0, 5: 5.0}
+
+
+def test_a_second_checkpoint_cannot_overwrite(spark, inbox, tmp_path):
+    path = str(tmp_path / "metrics")
+
+    def run(checkpoint, epoch=0):
+        counts = jobs.window_counts(messages.decode_events(text_stream(spark, inbox)))
+        jobs.run_once(counts, sinks.ChangelogSink(path, epoch), str(tmp_path / checkpoint))
+
+    drop(inbox, "0.txt", [message(at("00:00:10")), message(at("00:00:20"))], 1_700_000_000)
+    run("first")
+    (inbox / "0.txt").unlink()
+    drop(inbox, "1.txt", [message(at("00:00:30"))], 1_700_000_100)
+    with pytest.raises(Exception, match="raise the epoch"):
+        run("second")
+    assert [r["metric_value"] for r in sinks.metrics_latest(spark, path).collect()] == [2.0]
+    with pytest.raises(sinks.ForeignWriter):
+        sinks.ChangelogSink(path)(metric_rows(spark, [7]), 0)
+    run("third", epoch=1)
+    assert [r["metric_value"] for r in sinks.metrics_latest(spark, path).collect()] == [1.0]
+    drop(inbox, "2.txt", [message(at("00:00:40"))], 1_700_000_200)
+    run("third", epoch=1)  # the same query goes on
+    assert [r["metric_value"] for r in sinks.metrics_latest(spark, path).collect()] == [2.0]
+
+
+def test_event_log_has_one_writer_as_well(spark, tmp_path):
+    batch = messages.decode_events(spark.createDataFrame([(message(at("00:00:10")),)], "value string"))
+    sinks.claim(spark, str(tmp_path / "raw"), 0, "a query")
+    with pytest.raises(sinks.ForeignWriter, match="a query"):
+        sinks.RawEventSink(str(tmp_path / "raw"))(batch, 0)
+    sinks.RawEventSink(str(tmp_path / "raw"), epoch=1)(batch, 0)
+    assert event_log.read_event_log(spark, str(tmp_path / "raw")).count() == 1
 
 
 def test_bad_messages_go_to_quarantine_and_the_stream_lives(spark, inbox, tmp_path, caplog):

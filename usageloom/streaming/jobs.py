@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -141,8 +142,7 @@ def start_ingest(
     decoded = decode_events(messages)
     counts = start(
         window_counts(decoded, watermark=watermark, width=width),
-        # a batch touches a handful of windows
-        ChangelogSink(f"{output}/aggregated_metrics", epoch, files_per_batch=4),
+        ChangelogSink(f"{output}/aggregated_metrics", epoch),
         f"{checkpoints}/aggregated_metrics",
         output_mode="update",
         trigger=trigger,
@@ -158,14 +158,27 @@ def start_ingest(
 
 
 def supervise(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Returns when all queries have ended by themselves; a failure of any one stops the others and is raised."""
+    """Returns when all queries have ended by themselves; a failure of any one stops the others and is raised.
+
+    Other queries of the session, failed ones too, are none of its business.
+    """
+
+    def raise_own() -> None:
+        for query in queries:
+            if not query.isActive and query.exception() is not None:
+                raise query.exception()
+
     try:
+        # forget what has ended, then look: what ends from here on is told by the wait
+        spark.streams.resetTerminated()
+        raise_own()
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            for query in queries:
-                if not query.isActive and query.exception() is not None:
-                    raise query.exception()
+            try:
+                spark.streams.awaitAnyTermination()
+            except StreamingQueryException:
+                raise_own()
             spark.streams.resetTerminated()
+            raise_own()
     finally:
         for query in queries:
             if query.isActive:

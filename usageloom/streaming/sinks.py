@@ -3,15 +3,21 @@
 Files carry the batch they came from as partition columns and a batch replaces
 exactly its own partitions. Batch ids restart at 0 when a query starts from a
 new checkpoint, so they are ordered within an ``epoch``: raise it by one
-whenever a checkpoint is abandoned, or new batches would replace old ones.
-Rows go from executors to storage; the driver sees counts only.
+whenever a checkpoint is abandoned. An epoch belongs to the query that first
+wrote to it, known by the identity in its checkpoint; any other is refused
+before it can replace a batch. Rows go from executors to storage; the driver
+sees counts only.
+
+Batches lie in segments of ``SEGMENT`` batch ids. Readers list the names of
+segments and of the batches in those not folded yet, and hand Spark the folders
+of live batches alone, so what was folded into a snapshot is neither listed nor opened.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -27,6 +33,12 @@ from usageloom.sources.messages import as_raw_events
 log = logging.getLogger(__name__)
 
 EPOCH_SHIFT = 40  # batch ids stay below 2^40
+SEGMENT = 1000
+QUERY_ID = "sql.streaming.queryId"  # set by Spark on the thread that runs a batch
+
+
+class ForeignWriter(RuntimeError):
+    """The epoch is written by another query."""
 
 
 def version() -> Column:
@@ -42,7 +54,7 @@ def _replace_batch(
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by, "epoch", "batch_id")
+        .partitionBy(*[c for c in partition_by if c != "segment"], "epoch", *[c for c in partition_by if c == "segment"], "batch_id")
         .parquet(path)
     )
 
@@ -51,12 +63,59 @@ def _seen(counts: Observation, name: str) -> int:
     """A counter of the write just done; a batch known to be empty is optimised away, counters included."""
     try:
         return counts.get[name]
-    except Py4JJavaError:
+    except Py4JJavaError as problem:
+        if problem.java_exception.getClass().getName() != "java.util.NoSuchElementException":
+            raise
         return 0
 
 
+def _storage(spark: SparkSession, path: str):
+    """The file system of ``path`` and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def claim(spark: SparkSession, path: str, epoch: int, writer: str) -> None:
+    """Makes ``writer`` the one that may write to the epoch, unless another is.
+
+    The file that names the writer is created only if there is none, which the storage decides for one
+    of two that try at the same time. A file without a name is of a writer that died while claiming.
+    """
+    files, make = _storage(spark, path)
+    place = make(f"{path}/_writers/epoch={epoch}")
+    try:
+        out = files.create(place, False)
+        out.write(bytearray(writer.encode()))
+        out.close()
+        return
+    except Py4JJavaError as problem:
+        if "FileAlreadyExists" not in problem.java_exception.getClass().getName():
+            raise
+    found = files.open(place)
+    owner = bytes(found.readAllBytes()).decode()
+    found.close()
+    if owner != writer:
+        raise ForeignWriter(
+            f"epoch {epoch} of {path} is written by {owner or 'an unfinished claim'}, not by {writer}: raise the epoch"
+        )
+
+
+@dataclass(kw_only=True)
+class _Fenced:
+    """Claims its epoch before the first batch."""
+
+    _claimed: str | None = field(default=None, repr=False, compare=False)
+
+    def _claim(self, batch: DataFrame) -> None:
+        spark = batch.sparkSession
+        writer = spark.sparkContext.getLocalProperty(QUERY_ID) or "direct calls"
+        if self._claimed != writer:
+            claim(spark, self.path, self.epoch, writer)
+            self._claimed = writer
+
+
 @dataclass
-class RawEventSink:
+class RawEventSink(_Fenced):
     """Appends decoded messages to the event log, good and refused ones apart.
 
     Layout: ``valid`` / ``event_date`` / ``epoch`` / ``batch_id``. A live batch
@@ -70,6 +129,7 @@ class RawEventSink:
     files_per_date: int | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._claim(batch)
         rows = as_raw_events(batch)
         rows = (
             rows.withColumn("reasons", storage_violations(rows.columns))
@@ -93,28 +153,25 @@ class RawEventSink:
 
 
 @dataclass
-class ChangelogSink:
+class ChangelogSink(_Fenced):
     """Keeps every emitted version of keyed rows; the newest version of a key counts.
 
     Update mode emits the full value of a key each time it changes, so
     versions replace one another and are never added up. Each task of the
-    stateful stage writes what it emitted. Where a batch emits few rows,
-    ``files_per_batch`` bounds its files: the rows are shuffled behind the
-    stateful stage, which keeps all its tasks.
+    stateful stage writes what it emitted, and none where that is nothing.
     """
 
     path: str
     epoch: int = 0
-    files_per_batch: int | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._claim(batch)
         counts = Observation()
         rows = batch.withColumn("written_at", F.current_timestamp()).observe(
             counts, F.count(F.lit(1)).alias("rows")
         )
-        if self.files_per_batch:
-            rows = rows.repartition(self.files_per_batch, F.xxhash64(*batch.columns))
-        _replace_batch(rows, f"{self.path}/changelog", self.epoch, batch_id)
+        rows = rows.withColumn("segment", F.lit(batch_id // SEGMENT).cast("bigint"))
+        _replace_batch(rows, f"{self.path}/changelog", self.epoch, batch_id, ("segment",))
         log.info("batch %d: upserted %d row(s)", batch_id, _seen(counts, "rows"))
 
 
@@ -136,10 +193,32 @@ def snapshot_version(spark: SparkSession, path: str) -> int | None:
     return None if done is None else done.agg(F.max("upto")).first()[0]
 
 
-def _changes(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
-    schema = f"{_ddl(row_schema)}, `written_at` timestamp, `epoch` bigint, `batch_id` bigint"
-    found = _table(spark, f"{path}/changelog", schema)
-    return spark.createDataFrame([], schema) if found is None else found
+def _numbered(files, place, column: str) -> list[int]:
+    """The values of partition ``column`` right below a folder, by name alone."""
+    if not files.exists(place):
+        return []
+    names = (f.getPath().getName() for f in files.listStatus(place))
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{column}="))
+
+
+def live_batches(
+    spark: SparkSession, path: str, after: int | None = None, upto: int | None = None
+) -> dict[int, str]:
+    """Version to folder of the batches after one version, up to another. Segments outside are not looked into."""
+    files, make = _storage(spark, path)
+    log_path = f"{path}/changelog"
+    low = -1 if after is None else after
+    found = {}
+    for epoch in _numbered(files, make(log_path), "epoch"):
+        first = epoch << EPOCH_SHIFT
+        for segment in _numbered(files, make(f"{log_path}/epoch={epoch}"), "segment"):
+            if first + (segment + 1) * SEGMENT - 1 <= low or (upto is not None and first + segment * SEGMENT > upto):
+                continue
+            folder = f"{log_path}/epoch={epoch}/segment={segment}"
+            for batch_id in _numbered(files, make(folder), "batch_id"):
+                if low < first + batch_id and (upto is None or first + batch_id <= upto):
+                    found[first + batch_id] = f"{folder}/batch_id={batch_id}"
+    return found
 
 
 def versions(
@@ -147,13 +226,14 @@ def versions(
 ) -> DataFrame:
     """All live versions: the newest snapshot, then the batches after it."""
     columns = [f.name for f in row_schema.fields]
-    changes = _changes(spark, path, row_schema)
+    schema = f"{_ddl(row_schema)}, `written_at` timestamp, `epoch` bigint, `segment` bigint, `batch_id` bigint"
     base = snapshot_version(spark, path)
-    # conditions on partition columns only: folders outside the range are not listed for reading
-    if base is not None:
-        changes = changes.filter(version() > F.lit(base))
-    if upto is not None:
-        changes = changes.filter(version() <= F.lit(upto))
+    folders = list(live_batches(spark, path, base, upto).values())
+    changes = (
+        spark.read.schema(schema).option("basePath", f"{path}/changelog").parquet(*folders)
+        if folders
+        else spark.createDataFrame([], schema)
+    )
     rows = changes.select(
         *columns,
         version().alias("version"),
@@ -164,10 +244,10 @@ def versions(
         return rows
     snapshot = _table(
         spark,
-        f"{path}/snapshots",
-        f"{_ddl(row_schema)}, `version` bigint, `created_at` timestamp, `updated_at` timestamp, `upto` bigint",
+        f"{path}/snapshots/upto={base}",
+        f"{_ddl(row_schema)}, `version` bigint, `created_at` timestamp, `updated_at` timestamp",
     )
-    return rows.unionByName(snapshot.filter(F.col("upto") == base).drop("upto"))
+    return rows.unionByName(snapshot)
 
 
 def latest_versions(
@@ -216,13 +296,11 @@ def compact(
     once no reader started before the snapshot.
     """
     if upto is None:
-        # partition values alone answer this
-        batches = _changes(spark, path, row_schema).select(version().alias("version")).distinct()
-        newest_two = [r["version"] for r in batches.orderBy(F.desc("version")).limit(2).collect()]
         base = snapshot_version(spark, path)
-        if len(newest_two) < 2 or newest_two[1] == base:
+        newest = sorted(live_batches(spark, path, base))
+        if len(newest) < 2:
             return None
-        upto = newest_two[1]
+        upto = newest[-2]
     current = latest_versions(spark, path, row_schema, keys, upto)
     (
         current.withColumn("upto", F.lit(upto).cast("bigint"))
