@@ -283,11 +283,12 @@ def test_rollup_streams_equal_batch(spark, inbox, tmp_path):
     users = sinks.user_metrics_latest(spark, str(tmp_path / "users")).drop("updated_at")
     assert sorted(map(str, users.collect())) == sorted(map(str, rollups.user_metrics(batch).collect()))
 
-    jobs.run_once(jobs.active_users_approximate(decoded), sinks.ChangelogSink(str(tmp_path / "active")),
-                  str(tmp_path / "c2"))
-    active = sinks.active_users_latest(spark, str(tmp_path / "active")).drop("created_at", "updated_at")
     exact = activity.active_users_per_window(batch)
-    assert sorted(map(str, active.collect())) == sorted(map(str, exact.collect()))
+    jobs.run_once(jobs.window_sketches(decoded), sinks.ChangelogSink(str(tmp_path / "active")), str(tmp_path / "c2"))
+    sketches = sinks.window_sketches_latest(spark, str(tmp_path / "active"))
+    estimates = sketches.select("window_start", F.hll_sketch_estimate("sketch").alias("n"))
+    assert sorted(map(tuple, estimates.collect())) == sorted((r["window_start"], r["active_users"]) for r in exact.collect())
+    assert [r["estimate"] for r in activity.active_users_estimated(sketches, "month").collect()] == [7]
 
     jobs.run_once(jobs.active_users_exact(decoded), sinks.ChangelogSink(str(tmp_path / "exact")),
                   str(tmp_path / "c3"), "append")
@@ -432,3 +433,41 @@ def test_names_of_utc_are_one_zone(spark, zone):
         require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_range_of_dates_lists_only_its_folders(spark, tmp_path):
+    from datetime import date
+
+    table = str(tmp_path / "raw")
+    texts = [(message(f"2024-01-0{d}T00:00:10.000000+00:00", user=f"u{d}"),) for d in range(1, 6)]
+    sinks.RawEventSink(table)(messages.decode_events(spark.createDataFrame([*texts, ("not json",)], "value string")), 0)
+
+    def users(**bounds):
+        log = event_log.read_event_log(spark, table, **bounds)
+        return sorted(r["user_id"] for r in log.collect()), log.inputFiles()
+
+    found, opened = users(since=date(2024, 1, 2), until=date(2024, 1, 3))
+    assert found == ["u2", "u3"] and all("event_date=2024-01-02" in f or "event_date=2024-01-03" in f for f in opened)
+    assert users(since=date(2024, 1, 5))[0] == ["u5"] and users(until=date(2023, 1, 1))[0] == []
+    assert users()[0] == ["u1", "u2", "u3", "u4", "u5"]
+
+
+def test_merged_sketches_stay_within_their_bound(spark):
+    log = spark.range(0, 400_000, 1, 8).select(
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 6)").alias("event_timestamp"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 60_000).cast("string")).alias("user_id"),
+    )
+    sketches = activity.user_sketches(log, width="1 hour")
+    for grain, exact in (("day", activity.daily_active_users), ("week", activity.weekly_active_users), ("month", activity.monthly_active_users)):
+        figures = {r[0]: r[1] for r in exact(log).collect()}
+        estimates = {r["period_start"]: r["estimate"] for r in activity.active_users_estimated(sketches, grain).collect()}
+        assert set(figures) == set(estimates)
+        assert all(abs(estimates[p] - n) <= activity.SKETCH_BOUND * n for p, n in figures.items())
+
+
+def test_inserts_need_what_has_no_default(spark):
+    from usageloom.sources import tables
+
+    with tables.scratch_database(spark) as database, pytest.raises(ValueError, match="plan_tier"):
+        tables.insert(spark.range(1).select(F.lit("u").alias("user_id")), schemas.USER_METRICS, database)
+    assert database not in [d.name for d in spark.catalog.listDatabases()]

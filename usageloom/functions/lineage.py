@@ -38,3 +38,9 @@ def written(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder in any storage Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()

@@ -32,9 +32,9 @@ def user_metrics(events: DataFrame) -> DataFrame:
 
 
 def aggregated_metrics(
-    events: DataFrame, metric_name: str = EVENTS_PER_MINUTE, width: str = "1 minute"
+    events: DataFrame, *more: Column, metric_name: str = EVENTS_PER_MINUTE, width: str = "1 minute"
 ) -> DataFrame:
-    """Event count per window in the long metric format.
+    """Event count per window in the long metric format, with ``more`` aggregates behind it.
 
     ``created_at`` is when the window's first event arrived, ``updated_at``
     when its last did, as a live upsert of the same events would leave them.
@@ -45,14 +45,14 @@ def aggregated_metrics(
             F.count("*").cast("double").alias("metric_value"),
             F.min("ingested_at").alias("created_at"),
             F.max("ingested_at").alias("updated_at"),
+            *more,
         )
         .select(
             *timeparts.window_bounds(),
             F.lit(metric_name).alias("metric_name"),
-            "metric_value",
-            "created_at",
-            "updated_at",
+            "*",
         )
+        .drop("window")
     )
 
 
@@ -91,11 +91,11 @@ def heartbeat(
     """Seconds since the newest metric row.
 
     ``created_at`` moves only when a new window appears; ``updated_at`` moves
-    with every write.
+    with every write. ``as_of`` may be a column of ``metrics``: its newest value counts.
     """
     now = F.current_timestamp() if as_of is None else as_of
-    return metrics.agg(F.max(column).alias("newest")).select(
-        timeparts.seconds_between(F.col("newest"), now).alias("seconds_since_update")
+    return metrics.agg(F.max(column).alias("newest"), F.max(now).alias("now")).select(
+        timeparts.seconds_between(F.col("newest"), F.col("now")).alias("seconds_since_update")
     )
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageloom import schemas
-from usageloom.functions.lineage import shared_folder
+from usageloom.functions.latest import latest_rows_ranked
+from usageloom.functions.lineage import shared_folder, stored_bytes, written
 from usageloom.operators import (
     activity,
     adoption,
@@ -24,6 +25,7 @@ from usageloom.operators import (
 )
 from usageloom.plans import feeds
 from usageloom.plans.suite import suite_row_counts
+from usageloom.sources import tables
 from usageloom.sources.clickstream import raw_events
 from usageloom.sources.event_log import read_event_log, read_quarantine, register_views
 from usageloom.sources.messages import as_raw_events, decode_events, encode_events, read_event_stream
@@ -33,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: health figures are taken this long after the newest event
 DELAY = "INTERVAL 1 HOUR"
+#: dates a backfill is expected to span at least, and bytes of input for a file
+DATES, FILE_BYTES = 28, 128 << 20
 
 
 def _on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -48,18 +52,44 @@ def _on_labels(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(features.user_counts(raw_events(spark, sf_dir)))
 
 
-def _as_of(spark: SparkSession, sf_dir: str) -> Column:
-    """The newest event's time plus ``DELAY``, as one value of the query."""
-    newest = raw_events(spark, sf_dir).agg((F.max("event_timestamp") + F.expr(DELAY)).cast("timestamp").alias("as_of"))
-    return newest.scalar()
+def _ingest_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """The metric rows, and ``DELAY`` after the newest event, of which each row knows its window's: one pass of the log."""
+    metrics = rollups.aggregated_metrics(raw_events(spark, sf_dir), F.max("event_timestamp").alias("newest_event"))
+    return metrics, (F.col("newest_event") + F.expr(DELAY)).cast("timestamp")
 
 
 def ingest_heartbeat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.heartbeat(rollups.aggregated_metrics(raw_events(spark, sf_dir)), _as_of(spark, sf_dir))
+    return rollups.heartbeat(*_ingest_state(spark, sf_dir))
 
 
 def ingest_stalled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.stalled(rollups.aggregated_metrics(raw_events(spark, sf_dir)), _as_of(spark, sf_dir))
+    return rollups.stalled(*_ingest_state(spark, sf_dir))
+
+
+def default_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inserted without the columns that have defaults, read back from the catalog's tables."""
+    events = raw_events(spark, sf_dir)
+    frames = [
+        (schemas.RAW_EVENTS, events),
+        (schemas.USER_METRICS, rollups.user_metrics(events)),
+        (schemas.AGGREGATED_METRICS, rollups.aggregated_metrics(events)),
+        (schemas.FEATURE_USAGE, adoption.feature_usage_windows(events)),
+    ]
+    counts = None
+    with tables.scratch_database(spark) as database:
+        tables.create_tables(spark, database, shared_folder(spark, "tables"))
+        for table, frame in frames:
+            tables.insert(frame.drop(*table.defaults), table, database)
+            stored = spark.table(f"{database}.{table.name}")
+            filled = [F.count(c) for c in table.defaults]
+            total = F.sum("total_events") if "total_events" in table.defaults else F.lit(None).cast("bigint")
+            count = stored.agg(
+                F.lit(table.name).alias("table_name"), F.count("*").alias("n"),
+                F.least(*filled, F.count("*")).alias("defaulted"), total.alias("default_total"),
+            )
+            counts = count if counts is None else counts.unionByName(count)
+        # read before the names go
+        return written(counts, "default-values")
 
 
 # --- messages and data quality ---------------------------------------------
@@ -188,8 +218,10 @@ def raw_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log and quarantine after streaming the damaged feed."""
     folder = shared_folder(spark, "raw-events")
     messages = feeds.with_faults(feeds.to_raw_events(feeds.stream_clicks(spark, sf_dir)))
+    # a backfill of many dates at once: each date in as many files as its share of the input needs
+    files = -(-stored_bytes(spark, f"{sf_dir}/events.parquet") // (DATES * FILE_BYTES))
     jobs.run_once(
-        decode_events(messages), sinks.RawEventSink(f"{folder}/table"), f"{folder}/checkpoint", "append"
+        decode_events(messages), sinks.RawEventSink(f"{folder}/table", files_per_date=files), f"{folder}/checkpoint", "append"
     )
     columns = [c for c in schemas.RAW_EVENTS.schema.names if c != "ingested_at"]
     good = read_event_log(spark, f"{folder}/table").select(*columns, F.lit("").alias("reasons"))
@@ -257,6 +289,36 @@ def standing_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(stored.join(counted, "window_start", "left"), "window_start")
 
 
+def active_users_closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows the watermark has closed, each emitted once and for good."""
+    path = _streamed(spark, sf_dir, "active-users-closed", jobs.active_users_exact, "append")
+    rows = sinks.active_users_latest(spark, path).drop("created_at", "updated_at")
+    return _plain_time(rows, "window_start", "window_end")
+
+
+def active_users_sketch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days, weeks and months estimated from the minutes' sketches, judged by the exact figures."""
+    path = _streamed(spark, sf_dir, "active-users-sketches", jobs.window_sketches, "update")
+    sketches = written(sinks.window_sketches_latest(spark, path), "sketches")
+    exact = {
+        "day": activity.daily_active_users(raw_events(spark, sf_dir)),
+        "week": activity.weekly_active_users(raw_events(spark, sf_dir)),
+        "month": activity.monthly_active_users(raw_events(spark, sf_dir)),
+    }
+    result = None
+    for grain, figures in exact.items():
+        period, users = figures.columns
+        judged = figures.select(F.col(period).alias("period_start"), F.col(users).alias("active_users")).join(
+            activity.active_users_estimated(sketches, grain), "period_start", "left")
+        away = F.abs(F.col("estimate") - F.col("active_users"))
+        rows = judged.select(
+            F.lit(grain).alias("grain"), "period_start", "active_users",
+            F.coalesce(away <= activity.SKETCH_BOUND * F.col("active_users"), F.lit(False)).alias("within_bound"),
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 # --- upgrade prediction -------------------------------------------------------
 
 
@@ -288,7 +350,8 @@ def _long(frame: DataFrame, vector: str, names: list[str]) -> DataFrame:
 
 
 def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = upgrade_model.encode(features.user_features(raw_events(spark, sf_dir)))
+    # read four times: by the indexer, for the first levels, and to be encoded
+    encoded = upgrade_model.encode(written(features.user_features(raw_events(spark, sf_dir)), "features"))
     return _long(encoded, "x", upgrade_model.feature_names(encoded))
 
 
@@ -389,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "recency_segments": _on_events(retention.recency_segments),
     "last_action_logout": _on_events(retention.last_action),
     "run_suite": lambda spark, sf_dir: suite_row_counts(raw_events(spark, sf_dir)),
+    "newest_events": _on_events(lambda e: latest_rows_ranked(e, ["user_id"])),
     "user_metrics": _on_events(rollups.user_metrics),
     "feature_usage_windows": _on_events(adoption.feature_usage_windows),
     "active_users_per_minute": _on_events(activity.active_users_per_window),
@@ -400,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "events_json_decode": events_json_decode,
     "validate_events": validate_events,
     "check_constraints": check_constraints,
+    "default_values": default_values,
     "category_distribution": category_distribution,
     "audit_queries": audit_queries,
     "gated_queries": gated_queries,
@@ -410,6 +475,8 @@ QUERIES: dict[str, Query] = {
     "user_metrics_stream": user_metrics_stream,
     "feature_usage_stream": feature_usage_stream,
     "active_users_stream": active_users_stream,
+    "active_users_closed_stream": active_users_closed_stream,
+    "active_users_sketch_stream": active_users_sketch_stream,
     "late_events_stream": late_events_stream,
     "watermark_progress_stream": watermark_progress_stream,
     "standing_ingest_stream": standing_ingest_stream,

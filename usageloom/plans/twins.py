@@ -418,17 +418,15 @@ SELECT feature_name, count(DISTINCT user_id) AS unique_users, count(*) AS total_
        {_pct('count(*)', 'count(DISTINCT user_id)', 200)} AS avg_uses_per_user
 FROM raw_events WHERE {_FEATURE_EVENTS} GROUP BY feature_name""",
     "conversion_funnel": f"""WITH {RAW_EVENTS},
-totals AS (
-  SELECT (SELECT count(*) FROM (SELECT DISTINCT user_id FROM raw_events WHERE event_type = 'signup'))
-           AS stage_1_signups,
-         (SELECT count(*) FROM (SELECT DISTINCT user_id FROM raw_events WHERE event_type = 'feature_used'))
-           AS stage_2_used_feature,
-         (SELECT count(*) FROM (SELECT DISTINCT user_id FROM raw_events
-                                WHERE event_type IN ('purchase', 'upgrade'))) AS stage_3_converted
-)
-SELECT *, {_pct('stage_2_used_feature', 'stage_1_signups')} AS pct_signup_to_feature_use,
-       {_pct('stage_3_converted', 'stage_2_used_feature')} AS pct_feature_use_to_conversion
-FROM totals""",
+flags AS (
+  SELECT bool_or(event_type = 'signup') AS signed, bool_or(event_type = 'feature_used') AS used,
+         bool_or(event_type IN ('purchase', 'upgrade')) AS converted
+  FROM raw_events GROUP BY user_id
+),
+stages AS (SELECT count_if(signed) AS a, count_if(used) AS b, count_if(converted) AS c FROM flags)
+SELECT CAST(a AS BIGINT) AS stage_1_signups, CAST(b AS BIGINT) AS stage_2_used_feature, CAST(c AS BIGINT) AS stage_3_converted,
+       {_pct('b', 'a')} AS pct_signup_to_feature_use, {_pct('c', 'b')} AS pct_feature_use_to_conversion
+FROM stages""",
     "conversion_by_tier": f"""WITH {RAW_EVENTS},
 users AS (
   SELECT arg_max(plan_tier, (event_timestamp, id)) AS plan_tier,
@@ -445,10 +443,9 @@ SELECT CASE WHEN minutes_since_last_seen < 30 THEN 'active (< 30 min)'
             WHEN minutes_since_last_seen < 120 THEN 'cooling (30-120 min)'
             ELSE 'churned (> 120 min)' END AS recency_segment, count(*) AS user_count
 FROM idle GROUP BY 1""",
-    "last_action_logout": f"""WITH {RAW_EVENTS},
-final AS (SELECT DISTINCT ON (user_id) user_id, event_type FROM raw_events
-          ORDER BY user_id, event_timestamp DESC, id DESC)
-SELECT count(*) AS users_whose_last_action_was_logout FROM final WHERE event_type = 'logout'""",
+    "last_action_logout": f"""WITH {RAW_EVENTS}
+SELECT CAST(count_if(newest = 'logout') AS BIGINT) AS users_whose_last_action_was_logout
+FROM (SELECT arg_max(event_type, (event_timestamp, id)) AS newest FROM raw_events GROUP BY user_id)""",
 }
 
 _REPORT = """counts AS (
@@ -522,6 +519,21 @@ SELECT id, reasons = '' AS is_valid, reasons FROM judged""",
     "raw_events_stream": f"""WITH {FEED}
 SELECT id, user_id, session_id, event_timestamp, event_type, plan_tier, feature_name, country,
        {STORAGE} AS reasons FROM decoded""",
+    "newest_events": f"""WITH {RAW_EVENTS}
+SELECT DISTINCT ON (user_id) * FROM raw_events ORDER BY user_id, event_timestamp DESC, id DESC""",
+    "active_users_closed_stream": f"""WITH {RAW_EVENTS}
+SELECT * FROM ({ACTIVE_PER_MINUTE})
+WHERE window_end <= (SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL 1 MINUTE FROM raw_events)""",
+    "active_users_sketch_stream": "WITH " + RAW_EVENTS + "\nUNION ALL ".join(
+        f" SELECT '{g}' AS grain, CAST(date_trunc('{g}', event_timestamp) AS DATE) AS period_start,"
+        " count(DISTINCT user_id) AS active_users, true AS within_bound FROM raw_events GROUP BY ALL"
+        for g in ("day", "week", "month")
+    ),
+    "default_values": f"""WITH {METRICS}, {USER_METRICS}, {FEATURE_USAGE}
+SELECT 'raw_events' AS table_name, count(*) AS n, count(*) AS defaulted, NULL::BIGINT AS default_total FROM raw_events
+UNION ALL SELECT 'user_metrics', count(*), count(*), 0 FROM user_metrics
+UNION ALL SELECT 'aggregated_metrics', count(*), count(*), NULL FROM aggregated_metrics
+UNION ALL SELECT 'feature_usage', count(*), count(*), NULL FROM feature_usage""",
     "late_events_stream": f"""WITH {DELAYED}
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) FILTER (WHERE NOT late) AS on_time,
        count(*) FILTER (WHERE late AND NOT gone) AS late_kept, count(*) FILTER (WHERE gone) AS dropped

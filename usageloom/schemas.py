@@ -143,7 +143,7 @@ FEATURE_USAGE = Table(
 TABLES = {t.name: t for t in (RAW_EVENTS, USER_METRICS, AGGREGATED_METRICS, FEATURE_USAGE)}
 
 
-def create_table_sql(table: Table, location: str, partitioned_by: tuple[str, ...] = ()) -> str:
+def create_table_sql(table: Table, location: str, partitioned_by: tuple[str, ...] = (), database: str | None = None) -> str:
     """``CREATE TABLE`` text for an external parquet table in a Spark catalog, with the columns' defaults."""
     columns = ",\n  ".join(
         f"{f.name} {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
@@ -152,6 +152,6 @@ def create_table_sql(table: Table, location: str, partitioned_by: tuple[str, ...
     )
     partitions = f"\nPARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     return (
-        f"CREATE TABLE IF NOT EXISTS {table.name} (\n  {columns}\n)"
+        f"CREATE TABLE IF NOT EXISTS {f'{database}.' if database else ''}{table.name} (\n  {columns}\n)"
         f" USING parquet{partitions}\nLOCATION '{location}'"
     )

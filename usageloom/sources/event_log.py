@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageloom import schemas
 
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
+def read_event_log(
+    spark: SparkSession, path: str, since: date | None = None, until: date | None = None
+) -> DataFrame:
     """Good events of a log written by the raw sink; the ``valid`` partition is pruned to ``true``.
 
-    ``event_date`` stays in the frame so that time ranges drop whole partitions.
+    ``event_date`` stays in the frame so that time ranges drop whole partitions. With ``since`` or
+    ``until`` (both included) only the folders of those dates are listed at all, which matters once the
+    log has years of small batches.
     """
-    log = spark.read.schema(_log_schema()).parquet(path)
+    reader = spark.read.schema(_log_schema()).option("basePath", path)
+    if since is None and until is None:
+        log = reader.parquet(path)
+    else:
+        folders = _dated_folders(spark, f"{path}/valid=true", since or date.min, until or date.max)
+        log = reader.parquet(*folders) if folders else spark.createDataFrame([], _log_schema())
     return log.filter(F.col("valid")).select(*schemas.RAW_EVENTS.schema.names, "event_date")
 
 
+def _dated_folders(spark: SparkSession, path: str, since: date, until: date) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = (f.getPath().getName() for f in files.listStatus(place))
+    dated = sorted(n for n in found if re.fullmatch(r"event_date=\d{4}-\d{2}-\d{2}", n))
+    return [f"{path}/{n}" for n in dated if since <= date.fromisoformat(n.partition("=")[2]) <= until]
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Messages the storage rules refused, with their reasons and the untouched text."""
     log = spark.read.schema(_log_schema()).parquet(path)

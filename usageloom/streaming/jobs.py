@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from usageloom.functions import timeparts
+from usageloom.operators.activity import user_sketches
 from usageloom.operators.rollups import user_metrics
 from usageloom.schemas import EVENTS_PER_MINUTE, FEATURE_EVENT
 from usageloom.sources.messages import as_raw_events, decode_events
@@ -87,16 +88,9 @@ def active_users_exact(
     )
 
 
-def active_users_approximate(
-    decoded: DataFrame, watermark: str = WATERMARK, width: str = WINDOW, error: float = 0.02
-) -> DataFrame:
-    """Estimated distinct users per window, open windows included; for update mode, with constant state per window."""
-    return (
-        decoded.withWatermark("timestamp", watermark)
-        .groupBy(timeparts.tumbling("timestamp", width))
-        .agg(F.approx_count_distinct("user_id", error).alias("active_users"))
-        .select(*timeparts.window_bounds(), "active_users")
-    )
+def window_sketches(decoded: DataFrame, watermark: str = WATERMARK, width: str = WINDOW) -> DataFrame:
+    """A mergeable sketch of each window's users, open windows included; for update mode, with constant state per window."""
+    return user_sketches(decoded.withWatermark("timestamp", watermark), "timestamp", width)
 
 
 def user_rollup(decoded: DataFrame) -> DataFrame:

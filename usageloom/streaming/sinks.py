@@ -357,3 +357,10 @@ def window_users_counted(spark: SparkSession, path: str) -> DataFrame:
 
 def active_users_latest(spark: SparkSession, path: str) -> DataFrame:
     return latest_versions(spark, path, ACTIVE_USERS_ROW, ("window_start", "window_end")).drop("version")
+
+
+SKETCH_ROW = T.StructType([*ACTIVE_USERS_ROW.fields[:2], T.StructField("sketch", T.BinaryType(), False)])
+
+
+def window_sketches_latest(spark: SparkSession, path: str) -> DataFrame:
+    return latest_versions(spark, path, SKETCH_ROW, ("window_start", "window_end")).drop("version")
