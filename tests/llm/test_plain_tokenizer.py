@@ -3,6 +3,7 @@
 import struct
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from usageloom.llm.encoders import word_bpe
@@ -10,16 +11,24 @@ from usageloom.llm.encoders import word_bpe
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
-def ids(text):
-    found = word_bpe(WORDS).encode(text)
+def ids(text, **how):
+    found = word_bpe(WORDS, **how).encode(text)
     return list(struct.unpack(f"<{len(found) // 4}I", found))
 
 
-def test_equals_the_plain_call_but_for_special_tokens():
+@pytest.mark.parametrize("text", [
+    "", "Two words, and more.", "it's 12 o'clock", "schöne Größe\n\nñ", "a < b |> c", "日本語 x",
+    "a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", " <|endoftext|>\n", "x <|EndOfText|> y",
+    "<|endoftext|", "Word<|startoftext|>Word.", "\x1c<|endoftext|>\x1d", "e\u0301<|endoftext|>\u0301",
+])
+def test_ids_are_those_of_the_plain_call(text):
+    assert ids(text) == Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
+
+
+def test_a_guarded_encoder_reads_special_tokens_as_text():
     plain = Tokenizer.from_file(WORDS)
-    for text in ("", "Two words, and more.", "it's 12 o'clock", "schöne Größe\n\nñ", "a < b |> c", "日本語 x"):
-        assert ids(text) == plain.encode(text, add_special_tokens=False).ids, text
     for token in ("<|endoftext|>", "<|startoftext|>"):
         special = plain.token_to_id(token)
-        assert special in plain.encode(f"a {token} b", add_special_tokens=False).ids
-        assert special not in ids(f"a {token} b") and len(ids(token)) > 1
+        assert special in ids(f"a {token} b") and special not in ids(f"a {token} b", guarded=True)
+        assert len(ids(token, guarded=True)) > 1
+    assert ids("Two words, and more.", guarded=True) == ids("Two words, and more.")

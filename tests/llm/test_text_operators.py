@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from odd_rows import labels, none, odd  # noqa: F401
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from usageloom.llm import (
     byte_tokens,
@@ -252,12 +253,13 @@ def check_packing(rows, capacity):
 
 
 def test_packing_of_whole_documents(spark):
-    docs = table(spark, "documents")
+    marked = "a <|endoftext|>b <|startoftext|> <|EndOfText|> end"
+    docs = table(spark, "documents").withColumn("text", F.when(F.col("doc_id") % 50 == 3, F.lit(marked)).otherwise(F.col("text")))
     rows = packing.pack_documents(docs, WORDS).collect()
-    encoder = word_bpe(WORDS)
+    plain = Tokenizer.from_file(WORDS)
     expected = {}
     for r in docs.collect():
-        ids = encoder.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [1]
+        ids = plain.encode(r["text"] or "", add_special_tokens=False).ids + [1]
         for k, at in enumerate(range(0, len(ids), 4096)):
             part = ids[at:at + 4096]
             expected[r["doc_id"], k] = (at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
@@ -354,29 +356,74 @@ def test_feistel_is_a_permutation(spark):
     assert a != b and a != sorted(a)
 
 
-def test_token_shards_hold_every_sequence_in_its_slot(spark, odd, none, tmp_path):  # noqa: F811
-    docs = table(spark, "documents", SMALL)
+@pytest.mark.parametrize("folder_of", [SMALL, MEDIUM])
+def test_documents_read_back_whole_from_the_shards(spark, tmp_path, folder_of):
+    docs = table(spark, "documents", folder_of).repartition(3)
     folder = f"file://{tmp_path}/shards"
-    rows = {r["slot"]: r for r in token_shards.materialise(docs, WORDS, folder, per_shard=64).collect()}
-    encoder = word_bpe(WORDS)
-    expected = {}
-    for r in docs.collect():
-        ids = encoder.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [1]
-        for k, at in enumerate(range(0, len(ids), 512)):
-            expected[r["doc_id"], k] = ids[at:at + 512]
-    assert sorted(rows) == list(range(len(expected)))
-    for slot, ids in enumerate(token_shards.read_slots(folder, 0, len(rows), per_shard=64)):
-        r = rows[slot]
-        part = expected[r["doc_id"], r["piece"]]
-        assert ids[:r["n_tokens"]].tolist() == part and set(ids[r["n_tokens"]:].tolist()) <= {1}
-        assert r["shard"] == slot // 64 and r["ids_crc32"] == zlib.crc32(np.array(part, "<u2").tobytes())
+    rows = token_shards.materialise(docs, WORDS, folder, per_shard=64).collect()
+    plain = Tokenizer.from_file(WORDS)
+    slots = {r["slot"]: r for r in rows}
+    assert sorted(slots) == list(range(len(slots)))
+    assert sum(r["n_tokens"] < 512 for r in slots.values()) <= 3, "only the last sequence of a task is filled up"
+    found = collections.defaultdict(list)
+    stored = list(token_shards.read_slots(folder, 0, len(slots), per_shard=64))
+    for slot, ids in enumerate(stored):
+        r = slots[slot]
+        assert r["shard"] == slot // 64 and r["byte_offset"] == slot % 64 * 1024 and set(ids[r["n_tokens"]:].tolist()) <= {1}
+        assert r["ids_crc32"] == zlib.crc32(ids[:r["n_tokens"]].tobytes())
+    covered = collections.Counter()
+    for r in rows:
+        found[r["doc_id"]].append((r["start"], stored[r["slot"]][r["offset"]:r["offset"] + r["length"]].tolist()))
+        covered[r["slot"]] += r["length"]
+    assert covered == {s: r["n_tokens"] for s, r in slots.items()}
+    expected = {r["doc_id"]: plain.encode(r["text"] or "", add_special_tokens=False).ids + [1] for r in docs.collect()}
+    assert set(found) == set(expected)
+    for doc_id, parts in found.items():
+        joined = []
+        for start, ids in sorted(parts):
+            assert start == len(joined)
+            joined += ids
+        assert joined == expected[doc_id]
     resumed = list(token_shards.read_slots(folder, 60, 10, per_shard=64))
-    assert len(resumed) == 10 and resumed[5][:rows[65]["n_tokens"]].tolist() == expected[rows[65]["doc_id"], rows[65]["piece"]]
-    odd_rows = token_shards.materialise(odd, WORDS, f"file://{tmp_path}/odd").collect()
-    assert sum(r["doc_id"] in (3, 4, 5) and r["n_tokens"] == 1 for r in odd_rows) == 3
+    assert len(resumed) == 10 and (resumed[5] == stored[65]).all()
+
+
+def test_token_shards_of_odd_rows(spark, odd, none, tmp_path):  # noqa: F811
+    rows = token_shards.materialise(odd, WORDS, f"file://{tmp_path}/odd").collect()
+    assert sum(r["doc_id"] in (3, 4, 5) and r["length"] == 1 for r in rows) == 3
+    assert sum(r["doc_id"] is None for r in rows) == 2 and sum(r["doc_id"] == 1 and r["start"] == 0 for r in rows) == 2
+    long = [r for r in rows if r["doc_id"] == 7]
+    assert sum(r["length"] for r in long) == 30_001
     assert token_shards.materialise(none, WORDS, f"file://{tmp_path}/none").count() == 0
 
 
+def test_every_shard_is_a_partition_of_its_own(spark):
+    rows = spark.range(0, 40_000, 1, 5).select(
+        F.col("id").alias("slot"), F.lit(0).alias("n_tokens"), F.lit(b"").alias("ids"), F.expr(f"cast(array() as array<{token_shards.SPAN}>)").alias("spans"))
+    ranged = rows.withColumn("shard", F.floor(F.col("slot") / 8).cast("int"))
+    dealt = ranged.repartitionById(5000, "shard").select("shard", F.spark_partition_id().alias("p"))
+    assert dealt.filter("shard <> p").isEmpty() and dealt.select("p").distinct().count() == 5000
+
+
+def test_a_stream_is_cut_alike_however_it_comes():
+    draw = np.random.default_rng(9)
+    documents = [(i if i % 7 else None, draw.integers(2, 9, draw.integers(1, 40)).astype("<u2")) for i in range(60)]
+    whole = token_shards.Stream(8)
+    for d in documents:
+        whole.add(*d)
+    expected = whole.cut(last=True).to_pylist()
+    for every in (1, 7):
+        stream, out = token_shards.Stream(8), []
+        for k, d in enumerate(documents):
+            stream.add(*d)
+            if k % every == 0:
+                out += stream.cut().to_pylist()
+        assert [r["ids"] for r in out + stream.cut(last=True).to_pylist()] == [r["ids"] for r in expected]
+        assert stream.size == 0 and stream.documents == []
+    for r in expected:
+        assert sum(x["length"] for x in r["spans"]) == r["n_tokens"] == len(r["ids"]) // 2
+
+
 def test_a_repeated_run_leaves_whole_shards_alone(spark, tmp_path):
     import os
 

@@ -123,17 +123,18 @@ class ByteBpe:
 class WordBpe:
     """BPE with word ends, lower case and without white space, from a tokenizers file.
 
-    Unlike the library's plain call, strings of special tokens in a text are ordinary text.
+    Ids are those of the library's plain call, which gives the string of a special token in a text that token's
+    id. ``guarded``: such strings are ordinary text, so that a document cannot forge a special token.
     """
 
     _letters = re.compile(rf"([{LETTERS}]+)([{MARKS}]*)")
     _units_by_controls = re.compile(r"[\S\x1c-\x1f]+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, guarded: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = guarded
         self.model = self.tokenizer.model
         self.known = KnownUnits(self._find)
 
@@ -157,8 +158,8 @@ def byte_bpe(path: str, pattern: str) -> ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+def word_bpe(path: str, guarded: bool = False) -> WordBpe:
+    return WordBpe(path, guarded)
 
 
 def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:

@@ -1,24 +1,25 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-Documents become sequences of ``STRIDE`` ids (the last one of a document is
-filled up with the end mark). Sequences have numbers 0 to n - 1; a keyed Feistel
+The ids of a task's documents, each with an end mark behind it, are one stream that is cut into
+sequences of ``STRIDE`` ids; only the last sequence of a task is filled up (with the end mark). So a
+sequence holds spans of one document or more, and a document runs on from one sequence into the next.
+Sequences have numbers 0 to n - 1; a keyed Feistel
 permutation gives each a global slot: it permutes the smallest power of four
 that holds n, and a slot beyond n - 1 is permuted again until it lies within
 (cycle-walking). So the order needs no sort key, no memory and only the key to
 repeat. Slot s lies in shard s // ``PER_SHARD`` at byte
 (s % PER_SHARD) * STRIDE * 2, as little-endian unsigned 16-bit ids; readers seek.
 
-A shard is a range of slots and is written by one task at a time, under a name
-of its own first and then renamed, so a task that runs twice, or dies, leaves
+A shard is a range of slots and is one partition, by its number; it is written by one task at a time,
+under a name of its own first and then renamed, so a task that runs twice, or dies, leaves
 whole files only. Beside every shard lies its checksum; a repeated run leaves
 shards alone whose checksum is as it would be written.
 
 Sequences are numbered by the file they were stored in and their row there, so
-numbering moves nothing.
+numbering moves nothing. The index has one row per span: where it lies, and which ids of its document it holds.
 
-Defined cases: a null or empty text is one sequence, the end mark and filling;
-repeated rows are written each; an empty table writes no shard and gives an
-empty result.
+Defined cases: a null or empty text is one id, the end mark; repeated rows are written each; a null doc_id stays
+null in the index; an empty table writes no shard and gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,29 +43,78 @@ END = 1
 ROUNDS = 6
 KEY = 20240229
 
-SEQUENCES = "doc_id long, piece int, n_tokens int, ids binary"
-PLACED = "slot long, doc_id long, piece int, n_tokens int, shard long, byte_offset long, ids_crc32 long, shard_crc32 long"
+SPAN = "struct<doc_id:long,start:long,offset:int,length:int>"
+SEQUENCES = f"n_tokens int, ids binary, spans array<{SPAN}>"
+PLACED = f"slot long, n_tokens int, shard long, byte_offset long, ids_crc32 long, shard_crc32 long, spans array<{SPAN}>"
+#: ids gathered before they are cut
+GATHERED = 1 << 18
+
+
+class Stream:
+    """The ids of documents one behind the other, given back in sequences."""
+
+    def __init__(self, stride: int):
+        self.stride, self.size, self.documents = stride, 0, []
+
+    def add(self, doc_id: int | None, ids: np.ndarray, start: int = 0) -> None:
+        self.documents.append((doc_id, start, ids))
+        self.size += ids.size
+
+    def cut(self, last: bool = False):
+        """A batch of the whole sequences there are, ``last`` with the one that is not; the rest stays."""
+        import pyarrow as pa
+
+        stride = self.stride
+        rows = -(-self.size // stride) if last else self.size // stride
+        flat = np.concatenate([np.zeros(0, "<u2"), *(ids for _, _, ids in self.documents)])
+        upto = min(rows * stride, flat.size)
+        sizes = np.array([ids.size for _, _, ids in self.documents], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        ends = np.minimum(begins + sizes, upto)
+        used = np.flatnonzero(begins < upto)
+        first = begins[used] // stride
+        parts = (ends[used] - 1) // stride - first + 1
+        document = np.repeat(used, parts)
+        sequence = np.repeat(first - (np.cumsum(parts) - parts), parts) + np.arange(int(parts.sum()))
+        at = np.maximum(begins[document], sequence * stride)
+        length = np.minimum(ends[document], (sequence + 1) * stride) - at
+        starts = np.array([start for _, start, _ in self.documents], np.int64)
+        names = [self.documents[d][0] for d in document.tolist()]
+        spans = pa.StructArray.from_arrays(
+            [pa.array(names, pa.int64()), pa.array(starts[document] + at - begins[document]),
+             pa.array((at - sequence * stride).astype(np.int32)), pa.array(length.astype(np.int32))],
+            names=["doc_id", "start", "offset", "length"])
+        edges = np.searchsorted(sequence, np.arange(rows + 1)).astype(np.int32)
+        cuts = np.minimum(np.arange(rows + 1) * stride, upto)
+        ids = pa.Array.from_buffers(
+            pa.binary(), rows, [None, pa.py_buffer((cuts * 2).astype(np.int32)), pa.py_buffer(flat[:upto].tobytes())])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(np.diff(cuts).astype(np.int32)), ids, pa.ListArray.from_arrays(pa.array(edges), spans)],
+            names=["n_tokens", "ids", "spans"])
+        if flat.size > upto:
+            left = int(np.searchsorted(begins, upto, "right")) - 1
+            rest, skipped = self.documents[left:], int(upto - begins[left])
+            doc_id, start, ids = rest[0]
+            self.documents = [(doc_id, start + skipped, ids[skipped:]), *rest[1:]]
+        else:
+            self.documents = []
+        self.size = flat.size - upto
+        return batch
 
 
 def cut_sequences(docs: DataFrame, vocabulary: str, stride: int = STRIDE) -> DataFrame:
-    """Fixed-length sequences without their filling, ids as unsigned 16 bit."""
+    """Sequences with the spans they hold, ids as unsigned 16 bit; all full but the last of a task."""
     ship_code(docs.sparkSession)
 
     def sequences(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        encoder = word_bpe(vocabulary)
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in batches:
-            out = []
-            for doc_id, text in rows_of([batch], "doc_id", "text"):
-                ids = np.frombuffer(encoder.encode(text) + END.to_bytes(4, "little"), "<u4").astype("<u2")
-                for piece, at in enumerate(range(0, ids.size, stride)):
-                    part = ids[at:at + stride]
-                    out.append((doc_id, piece, part.size, part.tobytes()))
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-                                             names=["doc_id", "piece", "n_tokens", "ids"])
+        encoder, stream = word_bpe(vocabulary), Stream(stride)
+        mark = END.to_bytes(4, "little")
+        for doc_id, text in rows_of(batches, "doc_id", "text"):
+            stream.add(doc_id, np.frombuffer(encoder.encode(text) + mark, "<u4").astype("<u2"))
+            if stream.size >= max(GATHERED, stride):
+                yield stream.cut()
+        if stream.size:
+            yield stream.cut(last=True)
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(sequences, SEQUENCES)
 
@@ -121,11 +171,11 @@ def open_store(uri: str):
 
 
 def write_shards(placed: DataFrame, total: int, folder: str, stride: int = STRIDE, per_shard: int = PER_SHARD) -> DataFrame:
-    """Writes the shards and returns where each sequence lies. ``placed``: slot, doc_id, piece, n_tokens, ids."""
+    """Writes the shards and returns where each sequence lies. ``placed``: slot, n_tokens, ids, spans."""
     ship_code(placed.sparkSession)
     shards = max(1, -(-total // per_shard))
-    ranged = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
-    dealt = ranged.repartition(shards, "shard").sortWithinPartitions("slot")
+    ranged = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
+    dealt = ranged.repartitionById(shards, "shard").sortWithinPartitions("slot")
 
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -133,39 +183,36 @@ def write_shards(placed: DataFrame, total: int, folder: str, stride: int = STRID
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         filling = np.full(stride, END, "<u2").tobytes()
-
-        def finish(shard: int, rows: list) -> pa.RecordBatch:
-            whole = b"".join(r[4] + filling[len(r[4]):] for r in rows)
-            crc = zlib.crc32(whole)
-            name = f"{root}/shard-{shard:08d}"
-            note = f"{len(rows)} {stride} {crc}".encode()
-            if not already(store, name, note):
-                own = f"{name}.{uuid.uuid4().hex}.part"
-                for suffix, content in ((".bin", whole), (".ok", note)):
-                    with store.open_output_stream(own) as out:
-                        out.write(content)
-                    store.move(own, name + suffix)
-            return pa.RecordBatch.from_pylist([
-                {"slot": r[0], "doc_id": r[1], "piece": r[2], "n_tokens": r[3], "shard": shard,
-                 "byte_offset": r[0] % per_shard * stride * 2, "ids_crc32": zlib.crc32(r[4]), "shard_crc32": crc}
-                for r in rows], schema=pa.schema([
-                    ("slot", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()),
-                    ("shard", pa.int64()), ("byte_offset", pa.int64()), ("ids_crc32", pa.int64()),
-                    ("shard_crc32", pa.int64())]))
-
-        now, rows = None, []
+        kept, parts = [], []
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("shard", "slot", "doc_id", "piece", "n_tokens", "ids"))
-            for shard, *row in zip(*columns, strict=True):
-                if shard != now and rows:
-                    yield finish(now, rows)
-                    rows = []
-                now = shard
-                rows.append(row)
-        if rows:
-            yield finish(now, rows)
-
-    return dealt.select("shard", "slot", "doc_id", "piece", "n_tokens", "ids").mapInArrow(write, PLACED)
+            if batch.num_rows:
+                parts += [ids + filling[len(ids):] for ids in batch.column("ids").to_pylist()]
+                sums = [zlib.crc32(part[:2 * n]) for part, n in zip(parts[-batch.num_rows:], batch.column("n_tokens").to_pylist(), strict=True)]
+                kept.append((batch.select(["shard", "slot", "n_tokens", "spans"]), sums))
+        if not kept:
+            return
+        shard = kept[0][0].column("shard")[0].as_py()
+        crc = 0
+        for part in parts:
+            crc = zlib.crc32(part, crc)
+        name = f"{root}/shard-{shard:08d}"
+        note = f"{len(parts)} {stride} {crc}".encode()
+        if not already(store, name, note):
+            own = f"{name}.{uuid.uuid4().hex}.part"
+            for suffix, content in ((".bin", parts), (".ok", [note])):
+                with store.open_output_stream(own) as out:
+                    for part in content:
+                        out.write(part)
+                store.move(own, name + suffix)
+        for batch, sums in kept:
+            slot, n = batch.column("slot"), batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [slot, batch.column("n_tokens"), pa.array([shard] * n, pa.int64()),
+                 pa.array(slot.to_numpy() % per_shard * stride * 2), pa.array(sums, pa.int64()), pa.array([crc] * n, pa.int64()),
+                 batch.column("spans")],
+                names=["slot", "n_tokens", "shard", "byte_offset", "ids_crc32", "shard_crc32", "spans"])
+
+    return dealt.select("shard", "slot", "n_tokens", "ids", "spans").mapInArrow(write, PLACED)
 
 
 def already(store, name: str, note: bytes) -> bool:
@@ -194,10 +241,16 @@ def read_slots(folder: str, first: int, count: int, stride: int = STRIDE, per_sh
 
 def materialise(docs: DataFrame, vocabulary: str, folder: str | None = None, key: int = KEY,
                 stride: int = STRIDE, per_shard: int = PER_SHARD) -> DataFrame:
-    """Writes all shards under ``folder`` and returns one row per sequence: where it lies, with checksums."""
+    """Writes all shards under ``folder`` and returns one row per span of a document: where it lies, with checksums.
+
+    The span holds the document's ids ``start`` to ``start + length`` and lies ``offset`` ids behind the
+    beginning of its sequence, which is at ``byte_offset`` of the shard.
+    """
     spark = docs.sparkSession
     base = shared_folder(spark, "token-shards")
     cut_sequences(docs, vocabulary, stride).write.option("compression", "zstd").parquet(f"{base}/sequences")
     rows, total = numbered(f"{base}/sequences", spark)
-    placed = slots(rows, total, key).select("slot", "doc_id", "piece", "n_tokens", "ids")
-    return written(write_shards(placed, total, folder or f"{base}/shards", stride, per_shard), "shard-index")
+    placed = slots(rows, total, key).select("slot", "n_tokens", "ids", "spans")
+    index = write_shards(placed, total, folder or f"{base}/shards", stride, per_shard).select(
+        F.inline("spans"), "slot", "n_tokens", "shard", "byte_offset", "ids_crc32", "shard_crc32")
+    return written(index, "shard-index")
