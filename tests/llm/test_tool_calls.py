@@ -28,7 +28,7 @@ def messages(spark, rows):
 
 def report(spark, rows):
     found = tool_calls.positioned(tool_calls.linked_calls(messages(spark, rows), TOOLS)).collect()
-    return sorted(found, key=lambda r: (r["conv_id"] is None, r["conv_id"] or 0, r["position"]))
+    return sorted(found, key=lambda r: (r["conv_id"] is None, r["conv_id"] or 0, r["position"] or 0))
 
 
 def test_late_messages_are_put_behind_what_they_need(spark):
@@ -109,3 +109,157 @@ def test_conversations_equal_brute_force(spark):
         expected += [(conv, i, name, "result" if second else "call") for i, (_, second, name) in enumerate(sorted(events))]
     found = tool_calls.tool_call_report(turns).select("conv_id", "position", "call_id", "kind").collect()
     assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def plain_report(rows, tools):
+    """Every event with position, status, problem and JSON, by plain loops over one conversation after the other."""
+    out = []
+    for conv in sorted({r[0] for r in rows}):
+        events = []
+        for _, turn, text, calls, answer in (r for r in rows if r[0] == conv):
+            if answer is not None:
+                events.append({"turn": turn, "place": 0 if calls is None else -1, "kind": "result", "id": answer, "name": None,
+                               "body": {"content": text or None, "tool_call_id": answer}, "needs": [], "problem": None})
+            for i, c in enumerate(calls or []):
+                body, needs, problem = {"arguments": None, "id": c["id"], "name": c["name"]}, [], None
+                body |= {"content": text} if text and i == 0 and answer is None else {}
+                try:
+                    body["arguments"] = json.loads(c["arguments"])
+                    needs = [x["$ref"] for x in (body["arguments"].get("y"),) if x and "$ref" in x]
+                    problem = tool_calls.breach(body["arguments"], tools[c["name"]]) if c["name"] in tools else "unknown_tool"
+                except ValueError:
+                    body["raw"], problem = c["arguments"], "$: not JSON"
+                events.append({"turn": turn, "place": i, "kind": "call", "id": c["id"], "name": c["name"], "body": body, "needs": needs, "problem": problem})
+        for e in events:
+            e["json"] = json.dumps(e["body"], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        events.sort(key=lambda e: (e["turn"], e["place"], e["json"]))
+        calls, results = {}, {}
+        for e in events:
+            of = calls if e["kind"] == "call" else results
+            e["taken"] = e["id"] in of
+            of.setdefault(e["id"], e)
+        at = lambda e: (e["turn"], e["place"])
+        tangled = any(n in calls and at(calls[n]) >= at(c) for c in calls.values() for n in c["needs"])
+
+        def level(e, seen=()):
+            if e["id"] in seen:
+                return None
+            below = [level(calls[n], (*seen, e["id"])) for n in e["needs"] if n in calls]
+            return None if None in below else max((b + 1 for b in below), default=0)
+
+        for e in events:
+            own = None if e["taken"] else calls.get(e["id"])
+            missing = min((n for n in (own or e)["needs"] if own is e and n not in calls), default=None)
+            depth = level(own) if own else None
+            if e["taken"]:
+                status = "duplicate_id"
+            elif e["kind"] == "result":
+                status = "ok" if own else "orphan"
+            elif e["problem"]:
+                status = "unknown_tool" if e["problem"] == "unknown_tool" else "invalid"
+            elif missing:
+                status = "missing_dependency"
+            elif tangled and depth is None:
+                status = "cycle"
+            else:
+                status = "ok" if e["id"] in results else "unanswered"
+            known = calls.get(e["id"])
+            rank = 0 if own is None or not tangled else 2**31 - 1 if depth is None else depth
+            e["order"] = (rank, at(own or e), e["id"], e["kind"] == "result", e["turn"], e["place"], e["json"])
+            missing = min((n for n in known["needs"] if n not in calls), default=None) if known else None
+            e["row"] = (e["kind"], e["id"], e["name"] or (known and known["name"]), status, e["problem"] or missing, e["json"])
+        events.sort(key=lambda e: e["order"])
+        out += [(conv, i, *e["row"]) for i, e in enumerate(events)]
+    return out
+
+
+def random_traffic(draw, conversations):
+    rows = []
+    for conv in range(conversations):
+        names = [f"i{k}" for k in range(draw.randrange(1, 7))]
+        for turn in range(draw.randrange(1, 9)):
+            made = []
+            for _ in range(draw.randrange(0, 4)):
+                arguments = {"x": draw.choice([1, 2.5, -1, "s"])}
+                if draw.random() < 0.6:
+                    arguments["y"] = {"$ref": draw.choice([*names, "nobody"])}
+                made.append(call(draw.choice(names), draw.choice(["add", "add", "add", "sub"]),
+                                 "{broken" if draw.random() < 0.1 else json.dumps(arguments)))
+            answer = draw.choice(names) if draw.random() < 0.5 else None
+            rows.append((conv, turn, draw.choice([None, "", "text", "é"]), made or None, answer))
+    return rows
+
+
+@pytest.mark.parametrize("most", [tool_calls.TANGLE, 1])
+def test_random_traffic_equals_plain_loops(spark, monkeypatch, most):
+    """Status, problem, place and JSON; with ``most`` 1 every tangle takes the rounds of joins."""
+    import random
+
+    rows = random_traffic(random.Random(8), 40 if most > 1 else 12)
+    monkeypatch.setattr(tool_calls.levels, "__defaults__", (most,))
+    found = [(r["conv_id"], r["position"], r["kind"], r["call_id"], r["name"], r["status"], r["problem"], r["json"]) for r in report(spark, rows)]
+    want = plain_report(rows, TOOLS)
+    assert found == want
+    assert {"ok", "cycle", "invalid", "unknown_tool", "missing_dependency", "duplicate_id", "orphan"} <= {r[5] for r in want} or most == 1
+
+
+def test_long_backward_chain_takes_one_task(spark):
+    n = 3000
+    needs = spark.createDataFrame([(1, f"c{i}", f"c{i + 1}") for i in range(n)], "conv_id long, call_id string, need string")
+    calls = spark.createDataFrame([(1, f"c{i}") for i in range(n + 1)], "conv_id long, call_id string")
+    found = {r["call_id"]: r["level"] for r in tool_calls.levels(calls, needs).collect()}
+    assert found == {f"c{i}": n - i for i in range(n + 1)}
+
+
+@pytest.mark.parametrize("arguments, problem", [
+    ('{"x":1,"tags":["\\ud83d"]}', None), ('{"x":1,"\\ud83d":1}', "$.\\ud83d: not allowed"), ('{"x":1,"y":{"$ref":"\\ude00"}}', "\\ude00"),
+    ('{"x":1,"tags":["\\ud83d\\ude00"]}', None), ("[" * 5000 + "]" * 5000, "$: nested too deeply"), ("[" * 5000, "$: nested too deeply"),
+    ('{"y":' * 201 + "1" + "}" * 201, "$: nested too deeply"), ('{"x":1,"tags":["' + "[" * 300 + '"]}', None), ('{"x":NaN}', "$: not JSON"),
+    ('{"x":1e999}', "$: not JSON"), ('{"x":' + "9" * 5000 + "}", "$: not JSON"), ('{"x":1,"tags":["' + "long " * 100_000 + '"]}', None)])
+def test_odd_arguments_end_no_job(spark, arguments, problem):
+    row, = report(spark, [(1, 0, None, [call("a", arguments=arguments)], None)])
+    assert row["problem"] == problem
+    read = json.loads(row["json"])
+    assert read.get("raw") == arguments if problem in ("$: nested too deeply", "$: not JSON") else read["arguments"] == json.loads(arguments)
+
+
+@pytest.mark.parametrize("schema, good, bad", [
+    ({"type": ["string", "null"]}, ["a", None], [1, [], True]), ({"type": ["integer", "boolean"]}, [1, 2.0, True], ["a", 1.5, None]),
+    ({"const": 1}, [1, 1.0], [True, "1", 2]), ({"enum": [1, "a", None]}, [1, "a", None], [True, "b", 0]),
+    ({"pattern": "^a+$"}, ["aa", 5], ["b", ""]), ({"type": "array", "minItems": 1, "maxItems": 2}, [[1], [1, 2]], [[], [1, 2, 3]]),
+    ({"uniqueItems": True}, [[1, True], []], [[1, 1.0]]), ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ["a", 3], [2]),
+    ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, [0, 4], [2]), ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, [2], [0, 4]),
+    ({"not": {"type": "null"}}, [1], [None]), ({"exclusiveMinimum": 1, "exclusiveMaximum": 3}, [2], [1, 3]), ({"multipleOf": 5}, [10], [11]),
+    ({"additionalProperties": {"type": "string"}}, [{"a": "b"}, {}], [{"a": 1}]), ({"minProperties": 1, "maxProperties": 1}, [{"a": 1}], [{}, {"a": 1, "b": 2}]),
+    ({"items": False}, [[]], [[1]]), ({"title": "t", "description": "d"}, [1, None], []),
+])
+def test_schema_words(schema, good, bad):
+    tool_calls.check_schema(schema)
+    assert [v for v in good if tool_calls.breach(v, schema)] == [] and [v for v in bad if not tool_calls.breach(v, schema)] == []
+
+
+@pytest.mark.parametrize("schema", [{"format": "email"}, {"$ref": "#/x"}, {"properties": {"a": {"contains": 1}}}, {"type": "text"}, {"items": 5},
+                                    {"anyOf": [{"if": {}}]}])
+def test_schemas_with_unknown_words_are_refused(spark, schema):
+    with pytest.raises(ValueError, match="unknown|a schema is"):
+        tool_calls.linked_calls(messages(spark, []), {"t": schema})
+
+
+def test_clashing_columns_and_long_texts(spark):
+    rows = [(1, 0, None, [call("a")], None), (1, 1, "word " * 100_000, None, "a")]
+    clash = messages(spark, rows).selectExpr("*", *[f"'mine' AS {c}" for c in (
+        "place", "kind", "call_id", "name", "body", "needs", "problem", "taken", "level", "status", "position", "json", "raw", "need")])
+    found = tool_calls.positioned(tool_calls.linked_calls(clash, TOOLS)).orderBy("position").collect()
+    assert [(r["kind"], r["status"]) for r in found] == [("call", "ok"), ("result", "ok")]
+    assert json.loads(found[1]["json"])["content"] == rows[1][2]
+
+
+def test_many_events_without_a_key_are_spread(spark):
+    events = spark.range(20_000).selectExpr(
+        "cast(null as long) AS conv_id", "id % 3 AS turn", "cast(0 as int) AS place", "'call' AS kind", "cast(null as string) AS call_id",
+        "cast(id as string) AS body")
+    ranked = tool_calls.first_of_each(events)
+    from pyspark.sql import functions as F
+    sizes = [r["count"] for r in ranked.repartition(8, "conv_id", "call_id", "kind", F.xxhash64("conv_id", "turn", "place", "body"))
+             .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4000 and ranked.filter("taken").isEmpty()

@@ -10,17 +10,23 @@ Messages carry tool calls (``tool_calls``: a JSON array of objects with ``id``,
 * serialises every event as canonical JSON: sorted keys, no spaces, shortest numbers.
 
 Conversations whose calls already follow what they need keep their order. In
-the others calls get levels in rounds, one per step of the longest chain; calls
-on a cycle get none and go last, marked.
+the others a call gets a level, the longest chain of calls it needs; calls
+on or behind a cycle get none and go last, marked. Levels of a conversation of up to ``TANGLE`` needs are
+found in one task; a larger one takes a round of joins per step of its longest chain, which stores that
+step's calls alone.
 
 ``status`` is ``ok``; ``invalid`` (arguments break the schema, or no JSON);
 ``unknown_tool``; ``duplicate_id`` (a later call or result of a taken
 identifier); ``unanswered`` (a call without result); ``orphan`` (a result without
 call); ``missing_dependency`` or ``cycle``. ``problem`` says what is wrong.
 
+Schemas may use the words in ``WORDS`` and ``NOTES``; a tool whose schema has any other is refused before the job.
+
 Defined cases: null conversation or identifier: the event is kept and linked
-with nothing; null or empty texts become null content; the first of repeated
+with nothing, and without a conversation it has no position; null or empty texts become null content; the first of repeated
 rows counts and later ones are duplicates; empty tables give an empty result.
+Arguments nested deeper than ``DEPTH`` are ``invalid`` and kept as they are under ``raw``; half a surrogate pair,
+which no UTF-8 text can hold, stays escaped.
 ``tool_calls`` that is neither null nor a JSON array, and each element that is
 no object, is one ``invalid`` call without identifier whose JSON has the whole
 column under ``raw``; arguments that are no JSON are under ``raw`` as well. A
@@ -31,6 +37,7 @@ beside calls is the ``content`` of the result or else of the message's first cal
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -38,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usageloom.llm.common import ship_code, written
+from usageloom.llm.common import shared_folder, ship_code, written
 
 EVENTS = ("conv_id long, turn long, place int, kind string, call_id string, name string,"
           " body string, needs array<string>, problem string")
@@ -57,6 +64,34 @@ TOOLS = {
 }
 
 
+#: levels of objects and arrays that arguments may have
+DEPTH = 200
+#: needs of a conversation up to which one task orders its calls
+TANGLE = 100_000
+
+HALF_PAIR = re.compile("[\ud800-\udfff]")
+BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]', re.DOTALL)
+
+
+def escaped(text: str) -> str:
+    """Half surrogate pairs as JSON escapes, so that the text can be UTF-8."""
+    return HALF_PAIR.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def depth(text: str) -> int:
+    """Levels of brackets in a JSON text, counted without recursion."""
+    if text.count("[") + text.count("{") <= DEPTH:
+        return 0  # cannot be too deep
+    now = most = 0
+    for found in BRACKETS.finditer(text):
+        if found[0] in "[{":
+            now += 1
+            most = max(most, now)
+        elif found[0] in "]}":
+            now -= 1
+    return most
+
+
 def canonical(value: Any) -> str:
     """Sorted keys, no white space, characters as they are, whole floats as integers."""
     def plain(x: Any) -> Any:
@@ -66,45 +101,102 @@ def canonical(value: Any) -> str:
             return [plain(v) for v in x]
         return int(x) if isinstance(x, float) and x.is_integer() and abs(x) < 2**53 else x
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return escaped(json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
 
 
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None), "number": (int, float)}
+WORDS = {
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf", "minLength", "maxLength",
+    "pattern", "items", "minItems", "maxItems", "uniqueItems", "properties", "required", "additionalProperties",
+    "minProperties", "maxProperties", "anyOf", "allOf", "oneOf", "not",
+}
+#: words that say nothing about what is valid
+NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$comment", "deprecated", "readOnly", "writeOnly"}
+
+
+def check_schema(schema: Any, where: str = "$") -> None:
+    """Refuses a schema with words or types that ``breach`` does not know: they would pass silently."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{where}: a schema is an object or a boolean")
+    if unknown := sorted(set(schema) - WORDS - NOTES):
+        raise ValueError(f"{where}: unknown schema words {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    for kind in kinds if isinstance(kinds, list) else [kinds]:
+        if kind not in KINDS and kind != "integer":
+            raise ValueError(f"{where}: unknown type {kind}")
+    if "pattern" in schema:
+        re.compile(schema["pattern"])
+    for word in ("items", "additionalProperties", "not"):
+        if word in schema:
+            check_schema(schema[word], f"{where}.{word}")
+    for name, part in schema.get("properties", {}).items():
+        check_schema(part, f"{where}.{name}")
+    for word in ("anyOf", "allOf", "oneOf"):
+        for i, part in enumerate(schema.get(word, ())):
+            check_schema(part, f"{where}.{word}[{i}]")
+
+
+def is_kind(value: Any, kind: str) -> bool:
+    if kind == "integer":
+        return isinstance(value, int) and not isinstance(value, bool) or isinstance(value, float) and value.is_integer()
+    return isinstance(value, KINDS[kind]) and (kind == "boolean" or not isinstance(value, bool))
 
 
-def breach(value: Any, schema: dict, where: str = "$") -> str | None:
+def breach(value: Any, schema: dict | bool, where: str = "$") -> str | None:
     """The first way in which a value breaks a schema, or None."""
-    kind = schema.get("type")
-    if kind == "integer":
-        fits = isinstance(value, int) and not isinstance(value, bool) or isinstance(value, float) and value.is_integer()
-    elif kind:
-        fits = isinstance(value, KINDS[kind]) and (kind == "boolean" or not isinstance(value, bool))
-    else:
-        fits = True
-    if not fits:
-        return f"{where}: not of type {kind}"
-    if "enum" in schema and value not in schema["enum"]:
+    if isinstance(schema, bool):
+        return None if schema else f"{where}: not allowed"
+    kinds = schema.get("type")
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(is_kind(value, k) for k in kinds):
+        return f"{where}: not of type {' or '.join(kinds)}"
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         return f"{where}: not one of the allowed values"
+    if "const" in schema and canonical(value) != canonical(schema["const"]):
+        return f"{where}: not the allowed value"
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value) or value > schema.get("maximum", value):
             return f"{where}: out of range"
-    if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", len(value)):
-        return f"{where}: length"
+        if "exclusiveMinimum" in schema and value <= schema["exclusiveMinimum"]:
+            return f"{where}: out of range"
+        if "exclusiveMaximum" in schema and value >= schema["exclusiveMaximum"]:
+            return f"{where}: out of range"
+        if "multipleOf" in schema and value % schema["multipleOf"]:
+            return f"{where}: no multiple"
+    if isinstance(value, str):
+        if not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", len(value)):
+            return f"{where}: length"
+        if "pattern" in schema and not re.search(schema["pattern"], value):
+            return f"{where}: pattern"
     if isinstance(value, list):
+        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", len(value)):
+            return f"{where}: number of items"
+        if schema.get("uniqueItems") and len(set(map(canonical, value))) < len(value):
+            return f"{where}: repeated items"
         for i, x in enumerate(value):
-            if found := breach(x, schema.get("items", {}), f"{where}[{i}]"):
+            if found := breach(x, schema.get("items", True), f"{where}[{i}]"):
                 return found
     if isinstance(value, dict):
         known = schema.get("properties", {})
         for name in schema.get("required", ()):
             if name not in value:
                 return f"{where}.{name}: missing"
+        if not schema.get("minProperties", 0) <= len(value) <= schema.get("maxProperties", len(value)):
+            return f"{where}: number of properties"
         for name in sorted(value):
-            if name in known:
-                if found := breach(value[name], known[name], f"{where}.{name}"):
-                    return found
-            elif schema.get("additionalProperties") is False:
-                return f"{where}.{name}: not allowed"
+            if found := breach(value[name], known.get(name, schema.get("additionalProperties", True)), f"{where}.{name}"):
+                return found
+    for part in schema.get("allOf", ()):
+        if found := breach(value, part, where):
+            return found
+    if "anyOf" in schema and all(breach(value, part, where) for part in schema["anyOf"]):
+        return f"{where}: none of the alternatives"
+    if "oneOf" in schema and sum(breach(value, part, where) is None for part in schema["oneOf"]) != 1:
+        return f"{where}: not exactly one of the alternatives"
+    if "not" in schema and breach(value, schema["not"], where) is None:
+        return f"{where}: what is not allowed"
     return None
 
 
@@ -117,6 +209,8 @@ def references(value: Any) -> set[str]:
 
 def events_of(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
     """One row per call or result. ``messages``: conv_id, turn, text, tool_calls, tool_call_id."""
+    for name, schema in tools.items():
+        check_schema(schema, name)
     ship_code(messages.sparkSession)
     parsed = messages.select(
         "conv_id", "turn", "text", "tool_calls", "tool_call_id", F.from_json("tool_calls", CALLS).alias("calls"))
@@ -161,14 +255,18 @@ def events_of(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
                         problem = "$: no array of calls"
                         text = canonical(body | {"raw": r["raw"]})
                     else:
+                        sent = r["arguments"] or "null"
                         try:
-                            arguments = json.loads(r["arguments"] or "null")
+                            if depth(sent) > DEPTH:
+                                raise ValueError("nested too deeply")
+                            arguments = json.loads(sent)
                             text = canonical(body | {"arguments": arguments})
-                            needs = sorted(references(arguments))
+                            needs = sorted(map(escaped, references(arguments)))
                             problem = ("unknown_tool" if r["name"] not in tools
                                        else breach(arguments, tools[r["name"]]))
-                        except ValueError:
-                            problem = "$: not JSON"
+                            problem = problem and escaped(problem)
+                        except ValueError as wrong:
+                            problem = f"$: {wrong}" if str(wrong) == "nested too deeply" else "$: not JSON"
                             text = canonical(body | {"raw": r["arguments"]})
                 out.append({k: r[k] for k in ("conv_id", "turn", "place", "kind", "call_id", "name")}
                            | {"body": text, "needs": needs, "problem": problem})
@@ -178,30 +276,71 @@ def events_of(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
 
 
 def first_of_each(events: DataFrame) -> DataFrame:
-    """``taken`` is true for a later call or result of an identifier that is in use."""
-    keys = [F.coalesce(F.col("conv_id"), F.lit(-1)), "call_id", "kind"]
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy("turn", "place", "body"))
-    return events.withColumn("taken", F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & (rank > 1))
+    """``taken`` is true for a later call or result of an identifier that is in use.
 
-
-def levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    Events that cannot be repeated ones, without conversation or identifier, are dealt out by a hash.
+    """
+    named = F.col("call_id").isNotNull() & F.col("conv_id").isNotNull()
+    spread = F.when(~named, F.xxhash64("conv_id", "turn", "place", "body"))
+    rank = F.row_number().over(W.partitionBy("conv_id", "call_id", "kind", spread).orderBy("turn", "place", "body"))
+    return events.withColumn("taken", named & (rank > 1))
+
+
+def chain_levels(needs: dict[str, set[str]]) -> dict[str, int]:
+    """The longest chain of needs of each call that needs another; none for calls on or behind a cycle."""
+    needed_by: dict[str, list[str]] = {}
+    for call, those in needs.items():
+        for need in those:
+            needed_by.setdefault(need, []).append(call)
+    waiting = {call: len(those) for call, those in needs.items()}
+    level = {need: 0 for need in needed_by if need not in needs}
+    ready = list(level)
+    while ready:
+        need = ready.pop()
+        for call in needed_by.get(need, ()):
+            waiting[call] -= 1
+            level[call] = max(level.get(call, 0), level[need] + 1)
+            if not waiting[call]:
+                ready.append(call)
+    return {call: level[call] for call, left in waiting.items() if not left}
+
+
+def levels(calls: DataFrame, needs: DataFrame, most: int = TANGLE) -> DataFrame:
     """(conv_id, call_id, level): calls by the longest chain of needs; none for those on or behind a cycle.
 
     ``needs``: conv_id, call_id, need. Only conversations with a call that comes before what it needs are given here.
     """
     key = ["conv_id", "call_id"]
-    done = written(calls.select(*key).join(needs.select(*key).distinct(), key, "left_anti")
-                   .withColumn("level", F.lit(0)), "levels")
-    open_needs = written(needs, "needs")
-    round_ = 0
+    free = written(calls.select(*key).join(needs.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0)), "levels")
+    sizes = written(needs.groupBy("conv_id").agg((F.count(F.lit(1)) > most).alias("large")), "tangles")
+
+    def order(group):
+        import pyarrow as pa
+
+        needed: dict[str, set[str]] = {}
+        for call, need in zip(group.column("call_id").to_pylist(), group.column("need").to_pylist(), strict=True):
+            needed.setdefault(call, set()).add(need)
+        found = chain_levels(needed)
+        conv = group.column("conv_id")[0].as_py()
+        return pa.table([pa.array([conv] * len(found), pa.int64()), pa.array(list(found), pa.string()),
+                         pa.array(list(found.values()), pa.int32())], names=["conv_id", "call_id", "level"])
+
+    small = needs.join(sizes.filter("NOT large"), "conv_id", "left_semi").select(*key, "need")
+    done = free.unionByName(small.groupBy("conv_id").applyInArrow(order, "conv_id long, call_id string, level int"))
+    large = sizes.filter("large").select("conv_id")
+    if large.isEmpty():
+        return done
+    open_needs = written(needs.join(large, "conv_id", "left_semi"), "needs")
+    newest, round_, store = free, 0, shared_folder(needs.sparkSession, "levels")
     while True:
-        ready = done.filter(F.col("level") == round_).select("conv_id", F.col("call_id").alias("need"))
-        if ready.isEmpty():
-            return done
-        round_ += 1
+        ready = newest.select("conv_id", F.col("call_id").alias("need"))
         left = written(open_needs.join(ready, ["conv_id", "need"], "left_anti"), "needs")
         freed = open_needs.select(*key).distinct().join(left.select(*key).distinct(), key, "left_anti")
-        done = written(done.unionByName(freed.withColumn("level", F.lit(round_))), "levels")
+        round_ += 1
+        freed.withColumn("level", F.lit(round_)).write.parquet(f"{store}/round={round_}")
+        newest = needs.sparkSession.read.schema(done.schema).parquet(f"{store}/round={round_}")
+        if newest.isEmpty():
+            return done.unionByName(needs.sparkSession.read.schema(done.schema).parquet(store).select(*done.columns))
         open_needs = left
 
 
@@ -221,13 +360,19 @@ def linked_calls(messages: DataFrame, tools: dict[str, dict] | None = None) -> D
     ranked = levels(calls.join(tangled, "conv_id", "left_semi"), met).withColumn("tangled", F.lit(True))
     marked = tangled.withColumn("in_tangle", F.lit(True))
 
+    # events without conversation or identifier meet nothing, so they take no part in the joins
+    named = F.col("call_id").isNotNull() & F.col("conv_id").isNotNull()
+    alone = events.filter(~named).select(
+        "*", F.lit(None).cast("struct<turn:bigint,place:int>").alias("call_at"), F.lit(None).cast("string").alias("call_name"),
+        F.lit(None).cast("boolean").alias("answered"), F.lit(None).cast("string").alias("missing"),
+        F.lit(None).cast("int").alias("level"), F.lit(None).cast("boolean").alias("in_tangle"))
     linked = (
-        events.join(calls.select(*call_key, F.struct("turn", "place").alias("call_at"), F.col("name").alias("call_name")),
+        events.filter(named).join(calls.select(*call_key, F.struct("turn", "place").alias("call_at"), F.col("name").alias("call_name")),
                     call_key, "left")
         .join(results.select(*call_key, F.lit(True).alias("answered")), call_key, "left")
         .join(missing, call_key, "left")
         .join(ranked.drop("tangled"), call_key, "left")
-        .join(marked, "conv_id", "left"))
+        .join(marked, "conv_id", "left")).unionByName(alone)
     is_call, loose = F.col("kind") == "call", F.col("call_at").isNull() | F.col("taken")
     in_cycle = F.col("in_tangle") & F.col("level").isNull() & F.col("call_at").isNotNull()
     status = (
@@ -252,13 +397,14 @@ def linked_calls(messages: DataFrame, tools: dict[str, dict] | None = None) -> D
 
 
 def positioned(linked: DataFrame, span: int = 1024) -> DataFrame:
-    """``position``, gapless from 0 in each conversation, in the order of ``linked_calls``.
+    """``position``, gapless from 0 in each conversation, in the order of ``linked_calls``; null without a conversation.
 
     Long conversations are ranked in parts: events are dealt by (level, turn / span), parts are counted, and
     a part starts where the ones before it end, so no task holds a whole conversation.
     """
+    columns = ("turn", "kind", "call_id", "name", "status", "problem", "json")
     part = F.struct(F.col("order.level").alias("level"), F.floor(F.col("order.at.turn") / span).alias("part"))
-    parted = linked.withColumn("_part", part)
+    parted = linked.filter("conv_id IS NOT NULL").withColumn("_part", part)
     sizes = parted.groupBy("conv_id", "_part").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("conv_id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
@@ -266,8 +412,8 @@ def positioned(linked: DataFrame, span: int = 1024) -> DataFrame:
     ranked = parted.withColumn("_within", within - 1)
     same = ranked["conv_id"].eqNullSafe(starts["conv_id"]) & ranked["_part"].eqNullSafe(starts["_part"])
     return ranked.join(starts, same).select(
-        ranked["conv_id"], (F.col("_start") + F.col("_within")).cast("long").alias("position"),
-        "turn", "kind", "call_id", "name", "status", "problem", "json")
+        ranked["conv_id"], (F.col("_start") + F.col("_within")).cast("long").alias("position"), *columns
+    ).unionByName(linked.filter("conv_id IS NULL").select("conv_id", F.lit(None).cast("long").alias("position"), *columns))
 
 
 def messages_of(conversations: DataFrame) -> DataFrame:
