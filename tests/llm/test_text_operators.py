@@ -183,14 +183,6 @@ def test_url_rules_and_parts(spark):
     assert {r["verdict"] for r in url_filter.url_verdicts(frame.filter("page_id > 6"), one_kind).collect()} == {"allow"}
 
 
-def test_url_model_on_sites_it_has_not_seen(spark):
-    pages = table(spark, "pages", "/root/testdata/sf0.1")
-    rows = url_filter.url_verdicts(pages, url_filter.labelled_urls(spark)).filter("rule IS NULL").collect()
-    unwanted = re.compile("spam|pills|casino|bets|ads-|adult")
-    wrong = sum((r["verdict"] == "block") != bool(unwanted.search(r["host"])) for r in rows)
-    assert wrong / len(rows) < 0.02
-
-
 # tokens
 
 def test_byte_tokens_equal_the_rank_library(spark):

@@ -17,8 +17,8 @@ import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-#: units kept per Python worker, some 150 MB
-KNOWN = 600_000
+#: units kept per Python worker, some 75 MB
+KNOWN = 300_000
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: ASCII marks but the apostrophe; a run of them is one piece under both patterns

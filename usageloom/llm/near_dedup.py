@@ -18,16 +18,13 @@ with a chance of some 1 in 1,000, one of 0.8 with 1 in 100,000.
    ``ROUNDS`` rounds each class of a meeting names its nearest partner alone,
    which joins the components of a large group as fast as they can halve.
 4. What lies apart then is compared in full: every pair within the distance is
-   tried once, under the first key it shares. The blocks carry the ``SKETCH``
-   smallest shingles of each class, which is the whole set of a text up to that
-   size, so a pair is named only if these allow the similarity, and confirmed.
-   A shared shingle is never missed; of larger sets the smallest shingles are a
-   fair sample, and only pairs 5 deviations below the similarity are let go.
+   tried once, under the first key it shares. The blocks carry each class's whole
+   set, 32 bits a shingle, so a pair is named only if these have the similarity, and
+   confirmed. Shortened shingles never part what is equal, so no such pair is let go.
 
 So a large group costs a star and a few rounds of one pair a class, not all its
-pairs. A link between components is missed only by the two chances above: the
-signature's, and for sets of over ``SKETCH`` shingles the sketch's, some 1 in a
-million for a pair of similarity exactly 0.75. Keys, pairs and components stay in the executors.
+pairs. A link between components is missed only by the signature's chance above.
+Keys, pairs and components stay in the executors.
 
 Defined cases: a text without words is linked with nothing; one with fewer
 words than a shingle is one shingle; rows that share a doc_id are one document,
@@ -56,11 +53,6 @@ DISTANCE, CHUNKS = 21, 11
 BLOCK = 1500
 ROUNDS = 3
 NEAREST = 3
-#: smallest shingles of a class that the last comparison sees
-SKETCH = 512
-#: share of them that larger sets have to share, 5 deviations below the similarity
-LEAST_SHARE = PERCENT / 100 - 5 * (PERCENT / 100 * (1 - PERCENT / 100) / SKETCH) ** 0.5
-
 FOLDED = "doc_id long, n_shingles long, digest string, signature binary"
 
 
@@ -70,7 +62,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest
 
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         value = xxh3_64_intdigest(word)
         if len(word) <= 64:
@@ -176,10 +168,10 @@ def first_slots(equal: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(texts: DataFrame) -> DataFrame:
-    """(class_id, n_shingles, sketch): the leading 32 bits of the ``SKETCH`` smallest shingles."""
+def short_sets(texts: DataFrame) -> DataFrame:
+    """(class_id, n_shingles, shingles): the whole set, of each shingle the leading 32 bits, sorted."""
 
-    def smallest(batches: Iterator) -> Iterator:
+    def shortened(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         known = WordHashes()
@@ -188,30 +180,26 @@ def sketches(texts: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 shingles = shingle_hashes(text.as_py(), known)
                 sizes.append(shingles.size)
-                found.append((shingles[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
+                found.append(np.unique((shingles >> np.uint64(32)).astype("<u4")).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("class_id"), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
-                names=["class_id", "n_shingles", "sketch"])
+                names=["class_id", "n_shingles", "shingles"])
 
-    return texts.select("class_id", "text").mapInArrow(smallest, "class_id long, n_shingles long, sketch binary")
+    return texts.select("class_id", "text").mapInArrow(shortened, "class_id long, n_shingles long, shingles binary")
 
 
 def may_be_alike(mine: np.ndarray, size: int, others: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """Whether each other set can have the similarity to mine: surely not lost where both sketches are whole sets."""
-    most = np.uint32(0xFFFFFFFF)
-    known_to = np.array([o[-1] if n > SKETCH else most for o, n in zip(others, sizes, strict=True)], np.uint32)
-    if size > SKETCH:
-        known_to = np.minimum(known_to, mine[-1])
+    """Whether each other set can have the similarity to mine; never false for one that has it.
+
+    Two shingles of a set may fall together when shortened; as many may be missing from the shared ones.
+    """
     lengths = np.array([o.size for o in others])
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     flat = np.concatenate(others)
-    seen = flat <= np.repeat(known_to, lengths)
     at = np.minimum(np.searchsorted(mine, flat), mine.size - 1)
-    shared = np.add.reduceat((mine[at] == flat) & seen, starts, dtype=np.int64)
-    union = np.add.reduceat(seen, starts, dtype=np.int64) + np.searchsorted(mine, known_to, "right") - shared
-    whole = (sizes <= SKETCH) & (size <= SKETCH)
-    enough = np.where(whole, 100 * shared >= PERCENT * union, shared >= LEAST_SHARE * union)
-    return enough & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+    shared = np.add.reduceat(mine[at] == flat, starts, dtype=np.int64)
+    shared += (size - mine.size) + (sizes - lengths)
+    return 100 * shared >= PERCENT * (sizes + size - shared)
 
 
 def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -272,9 +260,9 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False,
     """(a, b, distance) within the distance, across components, of each key's classes, block against block.
 
     ``nearest``: only one pair for each class of a meeting. Else every pair, once over all keys, and given
-    ``texts`` only those whose sketches allow the similarity.
+    ``texts`` only those whose shortened sets have the similarity.
     """
-    sketched = texts is not None
+    with_sets = texts is not None
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
     open_keys = written(sizes.filter("least <> most").select(
@@ -289,10 +277,10 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False,
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     signed = rows.join(classes.select("class_id", "signature"), "class_id")
     seen = ["meeting", "class_id", "component", "block", "low", "high", "signature", "slot"]
-    if sketched:
+    if with_sets:
         compared_classes = members.join(open_keys, "key", "left_semi").select("class_id").distinct()
-        signed = signed.join(sketches(texts.join(compared_classes, "class_id", "left_semi")), "class_id")
-        seen += ["n_shingles", "sketch"]
+        signed = signed.join(short_sets(texts.join(compared_classes, "class_id", "left_semi")), "class_id")
+        seen += ["n_shingles", "shingles"]
 
     def across(batches: Iterator) -> Iterator:
         """Rows come sorted by meeting; a meeting has two blocks' rows at most."""
@@ -304,7 +292,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False,
             side = np.array([r[2] == r[3] for r in rows])
             alone = rows[0][3] == rows[0][4]
             values = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(-1, SIZE)
-            if sketched:
+            if with_sets:
                 sizes = np.array([r[7] for r in rows], np.int64)
                 shingles = [np.frombuffer(r[8], "<u4") for r in rows]
             out_a, out_b, out_d = [], [], []
@@ -324,7 +312,7 @@ def block_pairs(members: DataFrame, classes: DataFrame, nearest: bool = False,
                 else:
                     named = np.flatnonzero(away <= DISTANCE)
                     named = named[first_slots(equal[named]) == rows[0][6]]
-                    if sketched and named.size:
+                    if with_sets and named.size:
                         met = others[named]
                         named = named[may_be_alike(shingles[i], sizes[i], [shingles[m] for m in met], sizes[met])]
                 hit = others[named]

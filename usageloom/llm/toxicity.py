@@ -114,10 +114,10 @@ def terms_of(word: str) -> list[str]:
 
 
 class Buckets(dict):
-    """Word to the buckets of its terms, 32 bits each in one bytes object, bounded to some 100 MB."""
+    """Word to the buckets of its terms, 32 bits each in one bytes object, bounded to some 50 MB."""
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         buckets = array("i", map(bucket_of, terms_of(word))).tobytes()
         if len(word) <= 64:

@@ -71,10 +71,13 @@ def grams_of(host: Column, path: Column) -> Column:
 
 def marked_grams(mark: str, part: Column, n: int) -> Column:
     closed = F.concat(F.lit("^"), part, F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.length(closed) - (n - 1)),
-                        lambda i: F.concat(F.lit(mark), F.substring(closed, i, F.lit(n))))
-    return (F.when((F.length(part) > 0) & (F.length(closed) >= n), grams)
-            .otherwise(F.array().cast("array<string>")))
+    count = F.greatest(F.length(closed) - (n - 1), F.lit(0))
+    # arrays shifted against each other: a substring would be looked for from the text's beginning each time
+    shifted = [F.slice(F.split(closed, ""), k + 1, count) for k in range(n)]
+    grams = F.transform(shifted[0], lambda c: F.concat(F.lit(mark), c))
+    for more in shifted[1:]:
+        grams = F.zip_with(grams, more, lambda a, b: F.concat(a, b))
+    return F.when(F.length(part) > 0, grams).otherwise(F.array().cast("array<string>"))
 
 
 def with_parts(urls: DataFrame, *carried: Column) -> DataFrame:
@@ -98,7 +101,7 @@ def train(labelled: DataFrame, penalty: float = 0.01):
     if known.select("label").distinct().limit(2).count() < 2:
         return None
     rows = hashing().transform(with_parts(known, F.col("label")))
-    return LogisticRegression(regParam=penalty, maxIter=60, standardization=False).fit(rows)
+    return LogisticRegression(regParam=penalty, maxIter=500, tol=1e-9, standardization=False).fit(rows)
 
 
 def url_verdicts(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
