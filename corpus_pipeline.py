@@ -45,7 +45,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: trained models and tokenizers are beyond SQL; tests cover the stages' operators one by one, no test runs the pipeline
+#: trained models and tokenizers are beyond SQL; a test runs the pipeline and compares every stage with plain code
 ORACLE_SQL = None
 
 
