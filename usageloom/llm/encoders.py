@@ -17,8 +17,8 @@ import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-#: units kept per Python worker, some 75 MB
-KNOWN = 300_000
+#: units kept per Python worker, some 150 MB
+KNOWN = 600_000
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: ASCII marks but the apostrophe; a run of them is one piece under both patterns
@@ -130,13 +130,13 @@ class WordBpe:
     _letters = re.compile(rf"([{LETTERS}]+)([{MARKS}]*)")
     _units_by_controls = re.compile(r"[\S\x1c-\x1f]+")
 
-    def __init__(self, path: str, guarded: bool = False):
+    def __init__(self, path: str, guarded: bool = False, units: int = KNOWN):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = guarded
         self.model = self.tokenizer.model
-        self.known = KnownUnits(self._find)
+        self.known = KnownUnits(self._find, units)
 
     def _find(self, unit: str) -> bytes:
         plain = self._letters.fullmatch(unit)
@@ -158,8 +158,8 @@ def byte_bpe(path: str, pattern: str) -> ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def word_bpe(path: str, guarded: bool = False) -> WordBpe:
-    return WordBpe(path, guarded)
+def word_bpe(path: str, guarded: bool = False, units: int = KNOWN) -> WordBpe:
+    return WordBpe(path, guarded, units)
 
 
 def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:

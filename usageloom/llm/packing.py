@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from usageloom.llm.common import ship_code, shuffle_width, text_or_empty, written
-from usageloom.llm.encoders import rows_of, word_bpe
+from usageloom.llm.encoders import KNOWN, rows_of, word_bpe
 
 CAPACITY = 4096
 END = 1
@@ -48,14 +48,15 @@ ROUNDS = 800
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = False,
+               units: int = KNOWN) -> DataFrame:
     """The pieces of every document; ``ids`` (little-endian unsigned 32 bit) only if asked for."""
     ship_code(docs.sparkSession)
 
     def pieces(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder, end = word_bpe(vocabulary), END.to_bytes(4, "little")
+        encoder, end = word_bpe(vocabulary, units=units), END.to_bytes(4, "little")
         kind = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         width = 6 if with_ids else 5
@@ -255,9 +256,9 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, units: int = KNOWN) -> DataFrame:
     """One row per piece of every document: which sequence it lies in, and where."""
-    pieces = written(cut_pieces(docs, vocabulary, capacity), "pieces")
+    pieces = written(cut_pieces(docs, vocabulary, capacity, units=units), "pieces")
     return packed(pieces, capacity)
 
 
