@@ -34,7 +34,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
+    # workers have run the stages before, so they keep fewer known units
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), units=300_000)
 
 
 STAGES = [
