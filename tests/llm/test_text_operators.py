@@ -416,6 +416,43 @@ def test_a_stream_is_cut_alike_however_it_comes():
         assert sum(x["length"] for x in r["spans"]) == r["n_tokens"] == len(r["ids"]) // 2
 
 
+@pytest.mark.parametrize("sizes", [[], [1], [8], [512] * 5, [512, 7, 0, 1, 513, 8]])
+def test_packed_ids_unpack_to_the_same(sizes):
+    draw, sizes = np.random.default_rng(9), np.array(sizes, np.int32)
+    common = draw.permutation(300)[:256].astype("<u2")
+    for most in (200, 1 << 16):
+        ids = draw.integers(0, most, sizes.sum()).astype("<u2")
+        for table in (common, common[:3]):
+            rows = token_shards.pack(ids, sizes, table)
+            assert len(rows) == len(sizes) and (token_shards.unpack(rows, sizes, table) == ids).all()
+            rare = [~np.isin(x, table) for x in np.split(ids, np.cumsum(sizes)[:-1])] if len(sizes) else []
+            assert [len(r) for r in rows] == [-(-x.size // 8) + x.size + x.sum() for x in rare]
+
+
+def test_sequences_are_stored_and_moved_in_fewer_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_shards, "shared_folder", lambda _, purpose: f"file://{tmp_path}/{purpose}")
+    docs = table(spark, "documents").repartition(3)
+    rows = token_shards.materialise(docs, WORDS)
+    ids = rows.agg(F.sum("length")).first()[0]
+    stored = spark.read.parquet(f"file://{tmp_path}/token-shards/sequences").agg(F.sum("n_tokens"), F.sum(F.octet_length("ids"))).first()
+    assert stored[0] == ids and stored[1] < 0.75 * 2 * ids
+    assert sum(p.stat().st_size for p in tmp_path.glob("token-shards/shards/*.bin")) >= 2 * ids, "shards hold plain ids"
+
+
+def test_the_first_documents_decide_no_result(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(0, "zebra quartz")] * 300 + [(1, "the cat sat on the mat " * 400), (2, None)], "doc_id long, text string").coalesce(1)
+    common = token_shards.common_ids(docs, WORDS)
+    assert len(set(common.tolist())) == token_shards.COMMON
+    indexes = []
+    for k, known in enumerate((None, common)):
+        rows = token_shards.cut_sequences(docs, WORDS, common=known).withColumn("slot", F.monotonically_increasing_id())
+        indexes.append(token_shards.write_shards(rows, 8, f"file://{tmp_path}/{k}", common=known).orderBy("slot").collect())
+    assert indexes[0] == indexes[1] and sum(len(r["spans"]) for r in indexes[0]) > 300
+    one, two = ((tmp_path / f"{k}/shard-00000000.bin").read_bytes() for k in (0, 1))
+    assert one == two
+
+
 def test_a_repeated_run_leaves_whole_shards_alone(spark, tmp_path):
     import os
 

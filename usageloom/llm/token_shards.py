@@ -16,7 +16,9 @@ whole files only. Beside every shard lies its checksum; a repeated run leaves
 shards alone whose checksum is as it would be written.
 
 Sequences are numbered by the file they were stored in and their row there, so
-numbering moves nothing. The index has one row per span: where it lies, and which ids of its document it holds.
+numbering moves nothing. Until they are in a shard their ids are packed: one byte for the ``COMMON`` ids most frequent
+in the first documents, two for any other, and a bit that says which. Those documents decide the size only.
+The index has one row per span: where it lies, and which ids of its document it holds.
 
 Defined cases: a null or empty text is one id, the end mark; repeated rows are written each; a null doc_id stays
 null in the index; an empty table writes no shard and gives an empty result.
@@ -48,6 +50,9 @@ SEQUENCES = f"n_tokens int, ids binary, spans array<{SPAN}>"
 PLACED = f"slot long, n_tokens int, shard long, byte_offset long, ids_crc32 long, shard_crc32 long, spans array<{SPAN}>"
 #: ids gathered before they are cut
 GATHERED = 1 << 18
+#: ids that are packed into one byte, and the documents, and characters of each, that are looked at to find them
+COMMON = 256
+SAMPLE, CHARACTERS = 256, 4000
 
 
 class Stream:
@@ -102,19 +107,67 @@ class Stream:
         return batch
 
 
-def cut_sequences(docs: DataFrame, vocabulary: str, stride: int = STRIDE) -> DataFrame:
-    """Sequences with the spans they hold, ids as unsigned 16 bit; all full but the last of a task."""
+def common_ids(docs: DataFrame, vocabulary: str) -> np.ndarray:
+    """The ``COMMON`` most frequent ids in the beginnings of the first documents."""
+    encoder, mark = word_bpe(vocabulary), END.to_bytes(4, "little")
+    texts = docs.select(F.substring(text_or_empty(), 1, CHARACTERS).alias("text")).take(SAMPLE)
+    ids = np.frombuffer(b"".join(encoder.encode(r["text"]) + mark for r in texts), "<u4").astype("<u2")
+    return np.argsort(-np.bincount(ids, minlength=COMMON), kind="stable")[:COMMON].astype("<u2")
+
+
+def pack(ids: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> list[bytes]:
+    """Each sequence of ``ids`` as bytes: a bit for every id, set if it is rare (not in ``common``), up to a whole byte;
+    for every id its place in ``common``, or its low byte; the high bytes of the rare ones."""
+    code = np.arange(1 << 16, dtype="<u2") & 255 | 256
+    code[common] = np.arange(common.size)
+    found = np.take(code, ids)
+    rare = found > 255
+    ends, gaps = np.cumsum(sizes), -sizes % 8
+    marks = np.packbits(np.insert(rare, np.repeat(ends, gaps), False)).tobytes()
+    first = found.astype(np.uint8).tobytes()
+    at = np.flatnonzero(rare)
+    second = (ids[at] >> 8).astype(np.uint8).tobytes()
+    edges = np.stack([np.cumsum((sizes + gaps) // 8), ends, np.searchsorted(at, ends)], axis=1).tolist()
+    return [marks[m:n] + first[a:b] + second[c:d] for (m, a, c), (n, b, d) in zip([[0, 0, 0], *edges], edges)]
+
+
+def unpack(rows: list[bytes], sizes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The ids of packed sequences, one sequence behind the other."""
+    ends, gaps = np.cumsum(sizes), -sizes % 8
+    edges = np.stack([(sizes + gaps) // 8, (sizes + gaps) // 8 + sizes], axis=1).tolist()
+    marks, first, second = (np.frombuffer(b"".join(parts), np.uint8) for parts in (
+        [r[:m] for r, (m, _) in zip(rows, edges, strict=True)],
+        [r[m:n] for r, (m, n) in zip(rows, edges, strict=True)],
+        [r[n:] for r, (_, n) in zip(rows, edges, strict=True)]))
+    filled = np.repeat(ends, gaps) + np.arange(gaps.sum())
+    at = np.flatnonzero(np.delete(np.unpackbits(marks), filled).view(bool))
+    ids = np.take(np.resize(common, COMMON), first)
+    ids[at] = first[at] | second.astype("<u2") << 8
+    return ids
+
+
+def cut_sequences(docs: DataFrame, vocabulary: str, stride: int = STRIDE, common: np.ndarray | None = None) -> DataFrame:
+    """Sequences with the spans they hold, all full but the last of a task; ids as unsigned 16 bit, or packed by ``common``."""
     ship_code(docs.sparkSession)
 
+    def stored(batch):
+        import pyarrow as pa
+
+        if common is None:
+            return batch
+        ids = np.frombuffer(batch.column("ids").buffers()[2], "<u2")
+        packed = pa.array(pack(ids, batch.column("n_tokens").to_numpy(), common), pa.binary())
+        return batch.set_column(batch.schema.get_field_index("ids"), "ids", packed)
+
     def sequences(batches: Iterator) -> Iterator:
         encoder, stream = word_bpe(vocabulary), Stream(stride)
         mark = END.to_bytes(4, "little")
         for doc_id, text in rows_of(batches, "doc_id", "text"):
             stream.add(doc_id, np.frombuffer(encoder.encode(text) + mark, "<u4").astype("<u2"))
             if stream.size >= max(GATHERED, stride):
-                yield stream.cut()
+                yield stored(stream.cut())
         if stream.size:
-            yield stream.cut(last=True)
+            yield stored(stream.cut(last=True))
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(sequences, SEQUENCES)
 
@@ -170,13 +223,23 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-def write_shards(placed: DataFrame, total: int, folder: str, stride: int = STRIDE, per_shard: int = PER_SHARD) -> DataFrame:
-    """Writes the shards and returns where each sequence lies. ``placed``: slot, n_tokens, ids, spans."""
+def write_shards(placed: DataFrame, total: int, folder: str, stride: int = STRIDE, per_shard: int = PER_SHARD,
+                 common: np.ndarray | None = None) -> DataFrame:
+    """Writes the shards and returns where each sequence lies. ``placed``: slot, n_tokens, ids (packed if ``common`` is given), spans."""
     ship_code(placed.sparkSession)
     shards = max(1, -(-total // per_shard))
     ranged = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
     dealt = ranged.repartitionById(shards, "shard").sortWithinPartitions("slot")
 
+    def plain(batch) -> list[bytes]:
+        rows = batch.column("ids").to_pylist()
+        if common is None:
+            return rows
+        sizes = batch.column("n_tokens").to_numpy()
+        ids = unpack(rows, sizes, common).tobytes()
+        ends = (2 * np.cumsum(sizes)).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -186,9 +249,9 @@ def write_shards(placed: DataFrame, total: int, folder: str, stride: int = STRID
         kept, parts = [], []
         for batch in batches:
             if batch.num_rows:
-                parts += [ids + filling[len(ids):] for ids in batch.column("ids").to_pylist()]
-                sums = [zlib.crc32(part[:2 * n]) for part, n in zip(parts[-batch.num_rows:], batch.column("n_tokens").to_pylist(), strict=True)]
-                kept.append((batch.select(["shard", "slot", "n_tokens", "spans"]), sums))
+                rows = plain(batch)
+                parts += [ids + filling[len(ids):] for ids in rows]
+                kept.append((batch.select(["shard", "slot", "n_tokens", "spans"]), [zlib.crc32(ids) for ids in rows]))
         if not kept:
             return
         shard = kept[0][0].column("shard")[0].as_py()
@@ -248,9 +311,10 @@ def materialise(docs: DataFrame, vocabulary: str, folder: str | None = None, key
     """
     spark = docs.sparkSession
     base = shared_folder(spark, "token-shards")
-    cut_sequences(docs, vocabulary, stride).write.option("compression", "zstd").parquet(f"{base}/sequences")
+    common = common_ids(docs, vocabulary)
+    cut_sequences(docs, vocabulary, stride, common).write.option("compression", "zstd").parquet(f"{base}/sequences")
     rows, total = numbered(f"{base}/sequences", spark)
     placed = slots(rows, total, key).select("slot", "n_tokens", "ids", "spans")
-    index = write_shards(placed, total, folder or f"{base}/shards", stride, per_shard).select(
+    index = write_shards(placed, total, folder or f"{base}/shards", stride, per_shard, common).select(
         F.inline("spans"), "slot", "n_tokens", "shard", "byte_offset", "ids_crc32", "shard_crc32")
     return written(index, "shard-index")
