@@ -50,6 +50,8 @@ SEQUENCES = f"n_tokens int, ids binary, spans array<{SPAN}>"
 PLACED = f"slot long, n_tokens int, shard long, byte_offset long, ids_crc32 long, shard_crc32 long, spans array<{SPAN}>"
 #: ids gathered before they are cut
 GATHERED = 1 << 18
+#: characters encoded together, and what a document counts for besides its own
+AT_ONCE, EACH = 1 << 20, 64
 #: ids that are packed into one byte, and the documents, and characters of each, that are looked at to find them
 COMMON = 256
 SAMPLE, CHARACTERS = 256, 4000
@@ -107,6 +109,20 @@ class Stream:
         return batch
 
 
+def together(rows: Iterator[tuple]) -> Iterator[tuple[list, list[str]]]:
+    """Names and texts of documents, in groups of some ``AT_ONCE`` characters."""
+    names, texts, size = [], [], 0
+    for name, text in rows:
+        names.append(name)
+        texts.append(text)
+        size += len(text) + EACH
+        if size >= AT_ONCE:
+            yield names, texts
+            names, texts, size = [], [], 0
+    if texts:
+        yield names, texts
+
+
 def common_ids(docs: DataFrame, vocabulary: str) -> np.ndarray:
     """The ``COMMON`` most frequent ids in the beginnings of the first documents."""
     encoder, mark = word_bpe(vocabulary), END.to_bytes(4, "little")
@@ -161,9 +177,11 @@ def cut_sequences(docs: DataFrame, vocabulary: str, stride: int = STRIDE, common
 
     def sequences(batches: Iterator) -> Iterator:
         encoder, stream = word_bpe(vocabulary), Stream(stride)
-        mark = END.to_bytes(4, "little")
-        for doc_id, text in rows_of(batches, "doc_id", "text"):
-            stream.add(doc_id, np.frombuffer(encoder.encode(text) + mark, "<u4").astype("<u2"))
+        for names, texts in together(rows_of(batches, "doc_id", "text")):
+            ids, ends = encoder.encode_all(texts)
+            marked = np.insert(ids.astype("<u2"), ends, END)
+            for doc_id, part in zip(names, np.split(marked, ends[:-1] + np.arange(1, ends.size)), strict=True):
+                stream.add(doc_id, part)
             if stream.size >= max(GATHERED, stride):
                 yield stored(stream.cut())
         if stream.size:
